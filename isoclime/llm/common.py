@@ -47,8 +47,7 @@ def lower_ascii(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of maximal runs of characters other than space and U+0009..U+000D; null: 0."""
-    blanks = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
-    return F.size(F.filter(F.split(blanks, " "), lambda w: w != "")).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, sharding
+from . import exact_dedup, mixing, sharding, simhash
 
 
 def queries() -> dict:
     return {
+        "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+        "op8_curriculum_mix": mixing.op8_curriculum_mix,
         "op9_byte_shards": sharding.op9_byte_shards,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": exact_dedup.ORACLE}
+    return {"op6_exact_dedup": exact_dedup.ORACLE, "op8_curriculum_mix": mixing.ORACLE}
