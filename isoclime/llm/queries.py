@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, sharding, simhash
+from . import exact_dedup, language, mixing, packing, sharding, simhash
 
 
 def queries() -> dict:
     return {
         "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
+        "op4_pack_best_fit": packing.op4_pack_best_fit,
+        "op5_language_id": language.op5_language_id,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
         "op8_curriculum_mix": mixing.op8_curriculum_mix,
         "op9_byte_shards": sharding.op9_byte_shards,
