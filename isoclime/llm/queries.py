@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, mixing, packing, sharding, simhash
+from . import exact_dedup, language, mixing, packing, sharding, simhash, topk, warc
 
 
 def queries() -> dict:
     return {
+        "op2_warc_capture_index": warc.op2_warc_capture_index,
         "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
         "op4_pack_best_fit": packing.op4_pack_best_fit,
         "op5_language_id": language.op5_language_id,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
         "op8_curriculum_mix": mixing.op8_curriculum_mix,
         "op9_byte_shards": sharding.op9_byte_shards,
+        "op10_bit_sliced_topk": topk.op10_bit_sliced_topk,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": exact_dedup.ORACLE, "op8_curriculum_mix": mixing.ORACLE}
+    return {
+        "op2_warc_capture_index": warc.ORACLE,
+        "op6_exact_dedup": exact_dedup.ORACLE,
+        "op8_curriculum_mix": mixing.ORACLE,
+        "op10_bit_sliced_topk": topk.ORACLE,
+    }
