@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, mixing, packing, sharding, simhash, topk, warc
+from . import exact_dedup, language, mixing, packing, repeats, sharding, simhash, topk, warc
 
 
 def queries() -> dict:
     return {
+        "op1_suffix_array_dedup": repeats.op1_suffix_array_dedup,
         "op2_warc_capture_index": warc.op2_warc_capture_index,
         "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
         "op4_pack_best_fit": packing.op4_pack_best_fit,
