@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, mixing, packing, repeats, sharding, simhash, topk, warc
+from . import exact_dedup, language, licenses, mixing, packing, repeats, sharding, simhash, topk, warc
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op4_pack_best_fit": packing.op4_pack_best_fit,
         "op5_language_id": language.op5_language_id,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+        "op7_license_scan": licenses.op7_license_scan,
         "op8_curriculum_mix": mixing.op8_curriculum_mix,
         "op9_byte_shards": sharding.op9_byte_shards,
         "op10_bit_sliced_topk": topk.op10_bit_sliced_topk,
