@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from isoclime.plans import queries_base
+
+MODULES = [queries_base]
+
 
 def queries() -> dict:
-    return {}
+    return {name: f for m in MODULES for name, f in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: text for m in MODULES for name, text in m.ORACLES.items()}
