@@ -86,10 +86,10 @@ def loyo_normals(obs: DataFrame, value: str = "temp_mean", half: int = HALF, poo
     if reference_years is not None:
         parts = parts.filter(F.col("year").isin(list(reference_years)))
     own = window_partials(parts, half if pooling == "pooled" else 0)
-    total = own.groupBy("city_id", "slot").agg(F.sum("n").alias("N"), F.sum("s").alias("S"), F.sum("q").alias("Q"), F.first("centre").alias("centre"))
+    total = own.groupBy("city_id", "slot").agg(F.sum("n").alias("n_all"), F.sum("s").alias("s_all"), F.sum("q").alias("q_all"), F.first("centre").alias("centre"))
     grid = total.join(years, "city_id").join(own.drop("centre").withColumnRenamed("year", "ref_key"), ["city_id", "slot", "ref_key"], "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
-    left = _finish(F.col("N") - zero("n"), F.col("S") - zero("s"), F.col("Q") - zero("q"))
+    left = _finish(F.col("n_all") - zero("n"), F.col("s_all") - zero("s"), F.col("q_all") - zero("q"))
     out = grid.select("city_id", "slot", "ref_key", *left).filter("n >= 2")
     return out if pooling == "pooled" else smooth_normals(out, half, ["ref_key"])
 
@@ -134,7 +134,7 @@ def guarded_zscore(obs: DataFrame, value: str = "temp_mean", half: int = HALF, g
     rows = keyed(obs, value)
     centre = rows.groupBy("city_id").agg(F.avg("value").alias("centre"))
     own = window_partials(partials(obs, value), half)
-    total = own.groupBy("city_id", "slot").agg(F.sum("n").alias("N"), F.sum("s").alias("S"), F.sum("q").alias("Q"))
+    total = own.groupBy("city_id", "slot").agg(F.sum("n").alias("n_all"), F.sum("s").alias("s_all"), F.sum("q").alias("q_all"))
     edge = (F.col("slot") <= guard_days) | (F.col("slot") > 366 - guard_days)
     near = rows.filter(edge)
     days = F.explode(F.array(*(F.date_add("obs_date", k) for k in range(-guard_days, guard_days + 1) if k)))
@@ -144,7 +144,7 @@ def guarded_zscore(obs: DataFrame, value: str = "temp_mean", half: int = HALF, g
     ask = ask.filter("year(other_date) <> year").join(other, ["city_id", "other_date"]).filter(F.least(apart, 366 - apart) <= half)
     lost = ask.groupBy("city_id", "obs_date").agg(F.count("*").alias("ln"), F.sum("x").alias("ls"), F.sum(F.col("x") * F.col("x")).alias("lq"))
     grid = rows.join(total, ["city_id", "slot"]).join(own, ["city_id", "slot", "year"]).join(lost, ["city_id", "obs_date"], "left")
-    sums = [F.col(a) - F.col(b) - F.coalesce(c, F.lit(0)) for a, b, c in (("N", "n", "ln"), ("S", "s", "ls"), ("Q", "q", "lq"))]
+    sums = [F.col(a) - F.col(b) - F.coalesce(c, F.lit(0)) for a, b, c in (("n_all", "n", "ln"), ("s_all", "s", "ls"), ("q_all", "q", "lq"))]
     out = grid.select("city_id", "obs_date", "slot", "year", "value", *_finish(*sums))
     return out.withColumn("z", F.when(F.col("n") >= min_n, F.try_divide(F.col("value") - F.col("mu"), F.col("sigma"))))
 

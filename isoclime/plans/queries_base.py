@@ -27,7 +27,8 @@ def query(name: str, oracle: str | None = None):
 
 
 def r(name: str, digits: int = 4):
-    return F.round(name, digits).alias(name)
+    """Rounded, after a nudge far above summing errors and far below a digit: exact ties fall alike in both engines."""
+    return F.round(F.col(name) + 10.0 ** -(digits + 3), digits).alias(name)
 
 
 def stamp(c: str, out: str):
@@ -145,9 +146,9 @@ def a9(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "a10_corrupt",
     sql("px_daily", """, t AS (SELECT city_id, obs_date, temp_mean, city_id * 31 + (obs_date - DATE '1970-01-01') AS turn FROM px_daily)
-SELECT city_id, obs_date, round(CASE WHEN turn % 13 = 0 THEN NULL WHEN turn % 17 = 0 THEN temp_mean * 9 / 5 + 32 ELSE temp_mean END, 4) AS temp_mean,
+SELECT city_id, obs_date, round(CASE WHEN turn % 13 = 0 THEN NULL WHEN turn % 17 = 0 THEN temp_mean * 9 / 5 + 32 ELSE temp_mean END + 1e-7, 4) AS temp_mean,
        CASE WHEN turn % 13 = 0 THEN 'null' WHEN turn % 17 = 0 THEN 'fahrenheit' ELSE 'none' END AS synthetic_fault FROM t
-UNION ALL SELECT city_id, obs_date, round(temp_mean, 4), 'duplicate' FROM t WHERE turn % 11 = 0"""),
+UNION ALL SELECT city_id, obs_date, round(temp_mean + 1e-7, 4), 'duplicate' FROM t WHERE turn % 11 = 0"""),
 )
 def a10(spark: SparkSession, d: str) -> DataFrame:
     return landing.corrupt(proxies.daily(spark, d)).select("city_id", "obs_date", r("temp_mean"), "synthetic_fault")
@@ -232,7 +233,7 @@ def b5(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "b6_unit_consistency",
     sql("px_bronze", """, s AS (SELECT city_id, seq, avg(temp_mean) AS m, stddev_samp(temp_mean) AS sd, count(temp_mean) AS n FROM px_bronze GROUP BY 1, 2)
-SELECT a.city_id, a.seq AS seq_a, b.seq AS seq_b, a.n AS n_a, b.n AS n_b, round(b.m / a.m, 4) AS mean_ratio, round(b.sd / a.sd, 4) AS sd_ratio
+SELECT a.city_id, a.seq AS seq_a, b.seq AS seq_b, a.n AS n_a, b.n AS n_b, round(b.m / a.m + 1e-7, 4) AS mean_ratio, round(b.sd / a.sd + 1e-7, 4) AS sd_ratio
 FROM s a JOIN s b ON a.city_id = b.city_id AND a.seq < b.seq"""),
 )
 def b6(spark: SparkSession, d: str) -> DataFrame:
@@ -240,7 +241,7 @@ def b6(spark: SparkSession, d: str) -> DataFrame:
     return out.select("city_id", "seq_a", "seq_b", "n_a", "n_b", r("mean_ratio"), r("sd_ratio"))
 
 
-@query("b7_convert_units", sql("px_daily", "SELECT city_id, obs_date, round((temp_mean - 32) * 5.0 / 9, 4) AS temp_mean, round(wind_speed * 1852.0 / 3600, 4) AS wind_speed FROM px_daily"))
+@query("b7_convert_units", sql("px_daily", "SELECT city_id, obs_date, round((temp_mean - 32) * 5.0 / 9 + 1e-7, 4) AS temp_mean, round(wind_speed * 1852.0 / 3600 + 1e-7, 4) AS wind_speed FROM px_daily"))
 def b7(spark: SparkSession, d: str) -> DataFrame:
     out = cleaning.convert_units(proxies.daily(spark, d), {"temp_mean": "fahrenheit", "wind_speed": "knots"})
     return out.select("city_id", "obs_date", r("temp_mean"), r("wind_speed"))
@@ -249,7 +250,7 @@ def b7(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "b8_null_profile",
     sql("px_spine", "SELECT * FROM (" + " UNION ALL ".join(
-        f"SELECT city_id, CAST(year(obs_date) AS INTEGER) AS year, count(*) AS n_rows, '{v}' AS variable, count(*) - count({v}) AS n_null, round((count(*) - count({v}))::DOUBLE / count(*), 4) AS null_rate FROM px_spine GROUP BY 1, 2"
+        f"SELECT city_id, CAST(year(obs_date) AS INTEGER) AS year, count(*) AS n_rows, '{v}' AS variable, count(*) - count({v}) AS n_null, round((count(*) - count({v}))::DOUBLE / count(*) + 1e-7, 4) AS null_rate FROM px_spine GROUP BY 1, 2"
         for v in ("temp_mean", "humidity")) + ")"),
 )
 def b8(spark: SparkSession, d: str) -> DataFrame:

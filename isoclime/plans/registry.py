@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from isoclime.plans import queries_base
+from isoclime.plans import queries_base, queries_climate
 
-MODULES = [queries_base]
+MODULES = [queries_base, queries_climate]
 
 
 def queries() -> dict:
