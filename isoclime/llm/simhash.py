@@ -12,6 +12,12 @@ forest of its links, never all pairs, and the links go to the component search.
 ``hot_cell`` fingerprints is not compared at all: its members are linked through the exact bit strings
 within max_bits / 2 flips of each, which two of them share exactly when they differ in at most max_bits
 bits. That costs 2081 rows a fingerprint, but grows linearly and spreads evenly.
+
+``width`` puts several 64-bit fingerprints side by side, for near-duplicates that differ in more bits than
+one can spare: two documents are candidates if any half of any of them is close in the grid, and are linked
+if all bits together differ in at most ``max_bits``. Candidates are then a matter of chance, more likely the
+closer two texts are (measured in the README); what is linked is still verified on all bits, and hot cells
+are compared exactly, block against block in separate tasks.
 """
 
 from __future__ import annotations
@@ -22,6 +28,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,51 +41,78 @@ SEGMENTS = np.uint64(0x5555555555555555)
 
 def fingerprint(text: str | None, words_per_shingle: int = SHINGLE_WORDS) -> int:
     """64-bit SimHash over word shingles, repeats counted; no word: 0."""
+    return int(wide_fingerprint(text, words_per_shingle, 1)[0])
+
+
+def wide_fingerprint(text: str | None, words_per_shingle: int, width: int) -> np.ndarray:
+    """``width`` SimHashes; the first from the shingles' hashes, each other from those remixed."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
-    if len(words) < words_per_shingle:
-        return xxhash.xxh64_intdigest(b" ".join(words), 42)
-    joined, k = b" ".join(words), words_per_shingle
+        return np.zeros(width, np.uint64)
+    k = min(words_per_shingle, len(words))
+    joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate(([0], ends[:-1]))
     digest = xxhash.xxh64_intdigest
     spans = zip(starts[: len(words) - k + 1].tolist(), (ends[k - 1 :] - 1).tolist(), strict=True)
     hashes = np.array([digest(joined[i:j], 42) for i, j in spans], np.uint64)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 14):
-        bits = np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
+    out = []
+    for _ in range(width):
+        ones = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), 1 << 14):
+            bits = np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones += bits.sum(axis=0, dtype=np.int32)
+        out.append(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
+        hashes = (hashes ^ (hashes >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+        hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return np.array(out, np.uint64)
+
 
+def names_of(width: int) -> list[str]:
+    return ["fp", *(f"fp{i}" for i in range(1, width))]
 
-def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(``key``, fp): the fingerprint as a signed long, one row per input row."""
+
+def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", words_per_shingle: int = SHINGLE_WORDS, width: int = 1) -> DataFrame:
+    """(key, fp, fp1, ...): the fingerprints as signed longs, one row per input row."""
     src = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    names = names_of(width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t, words_per_shingle) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["key", "fp"])
+            fps = np.array([wide_fingerprint(t, words_per_shingle, width) for t in b.column(1).to_pylist()], np.uint64).reshape(-1, width)
+            yield pa.RecordBatch.from_arrays([b.column(0), *_columns(fps)], ["key", *names])
+
+    return src.mapInArrow(run, f"key {src.schema['key'].dataType.simpleString()}, " + ", ".join(f"{n} long" for n in names))
+
+
+def _columns(fps: np.ndarray) -> list[pa.Array]:
+    return [pa.array(np.ascontiguousarray(fps[:, w]).view(np.int64)) for w in range(fps.shape[1])]
 
-    return src.mapInArrow(run, f"key {src.schema['key'].dataType.simpleString()}, fp long")
+
+def _array(b: pa.RecordBatch, first: int, width: int) -> np.ndarray:
+    return np.stack([b.column(first + w).to_numpy(zero_copy_only=False).view(np.uint64) for w in range(width)], axis=1)
+
+
+def _near(a: np.ndarray, b: np.ndarray, max_bits: int) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int32) <= max_bits
 
 
 def _cells(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(cell, fp) rows: for both halves, the cells within ``radius`` (0 or 1) steps of the fingerprint's."""
-    counts = (fps & SEGMENTS) + ((fps >> np.uint64(1)) & SEGMENTS)
-    cells, owners = [], []
-    for half in (0, 1):
-        code = (counts >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)
+    """(cell, row of fps): for both halves of each fingerprint, the cells within ``radius`` (0 or 1) steps of its own."""
+    rows, cells, owners = np.arange(len(fps)), [], []
+    for half in range(2 * fps.shape[1]):
+        word = fps[:, half // 2]
+        counts = (word & SEGMENTS) + ((word >> np.uint64(1)) & SEGMENTS)
+        code = (counts >> np.uint64(32 * (half % 2))) & np.uint64(0xFFFFFFFF)
         tag = np.uint64(half << 32)
         cells.append(code | tag)
-        owners.append(fps)
+        owners.append(rows)
         for s in range(16 if radius else 0):
             unit = np.uint64(1 << (2 * s))
             field = (code >> np.uint64(2 * s)) & np.uint64(3)
             for keep, moved in ((field < 2, code + unit), (field > 0, code - unit)):
                 cells.append(moved[keep] | tag)
-                owners.append(fps[keep])
+                owners.append(rows[keep])
     return np.concatenate(cells), np.concatenate(owners)
 
 
@@ -89,10 +123,10 @@ def _forest(fps: np.ndarray, max_bits: int) -> list[tuple[np.ndarray, np.ndarray
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             at = queue.pop()
-            near = np.bitwise_count(rest ^ at) <= max_bits
+            near = _near(rest, at, max_bits)
             if near.any():
                 found = rest[near]
-                out.append((np.full(len(found), at), found))
+                out.append((np.broadcast_to(at, found.shape), found))
                 queue.extend(found)
                 rest = rest[~near]
     return out
@@ -110,7 +144,7 @@ def _links(cells: np.ndarray, fps: np.ndarray, max_bits: int, small: int = 8) ->
         at = at[cells[at] == cells[at + step]]
         if not len(at):
             break
-        near = np.bitwise_count(fps[at] ^ fps[at + step]) <= max_bits
+        near = _near(fps[at], fps[at + step], max_bits)
         pairs.append((fps[at[near]], fps[at[near] + step]))
     for s, n in zip(starts[sizes > small], sizes[sizes > small], strict=True):
         pairs += _forest(fps[s : s + n], max_bits)
@@ -119,54 +153,75 @@ def _links(cells: np.ndarray, fps: np.ndarray, max_bits: int, small: int = 8) ->
     return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
 
 
-def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_cell: int = HOT_CELL) -> DataFrame:
-    """(a, b): links between distinct fingerprints (column fp) that connect whatever lies within max_bits bits."""
-    if max_bits not in (0, 2, 4):
-        raise ValueError("max_bits must be 0, 2 or 4: the grid's cells are built for these")
-    spark, radius = fps.sparkSession, int(max_bits > 0)
+def _packed(a: np.ndarray, b: np.ndarray, hot: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*_columns(a), *_columns(b), pa.array(hot)], names)
+
+
+def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_cell: int = HOT_CELL, width: int = 1) -> DataFrame:
+    """Links between distinct fingerprints (columns fp, fp1, ...): a_fp, a_fp1, ..., b_fp, b_fp1, ...
+
+    For ``width`` 1 they connect whatever lies within ``max_bits`` (0, 2 or 4) bits.
+    """
+    if width == 1 and max_bits not in (0, 2, 4):
+        raise ValueError("max_bits must be 0, 2 or 4 for one fingerprint: the grid's cells are built for these")
+    spark, radius, own = fps.sparkSession, int(max_bits > 0), names_of(width)
+    ends = [f"{side}_{n}" for side in "ab" for n in own]
+    longs = lambda names: ", ".join(f"{n} long" for n in names)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for at in range(0, len(own), 1 << 12):
-                cell, fp = _cells(own[at : at + (1 << 12)], radius)
-                yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), pa.array(fp.view(np.int64))], ["cell", "fp"])
+            rows = _array(b, 0, width)
+            for at in range(0, len(rows), 1 << 12):
+                cell, of = _cells(rows[at : at + (1 << 12)], radius)
+                yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), *_columns(rows[at + of])], ["cell", *own])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(a: np.ndarray, b: np.ndarray, hot: bool) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(np.full(len(a), hot))], ["a", "b", "hot"]
-            )
+        def hot_rows(cells: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+            return _packed(rows, rows, cells.view(np.int64), [*ends, "hot"])
 
-        cells, fps, over = np.zeros(0, np.uint64), np.zeros(0, np.uint64), None  # over: a cell found to be hot
+        def settled(cells: np.ndarray, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+            if not len(cells):
+                return
+            starts = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
+            sizes = np.diff(np.concatenate((starts, [len(cells)])))
+            hot = np.repeat(sizes > hot_cell, sizes)
+            if hot.any():
+                yield hot_rows(cells[hot], rows[hot])
+            if not hot.all():
+                a, b = _links(cells[~hot], rows[~hot], max_bits)
+                yield _packed(a, b, np.full(len(a), -1), [*ends, "hot"])
+
+        cells, rows, over = np.zeros(0, np.uint64), np.zeros((0, width), np.uint64), None  # over: a cell found to be hot
         for b in batches:
             cells = np.concatenate((cells, b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)))
-            fps = np.concatenate((fps, b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)))
+            rows = np.concatenate((rows, _array(b, 1, width)))
             if over is not None:
                 n = int(np.searchsorted(cells, over, side="right"))
-                yield out(fps[:n], fps[:n], True)
-                cells, fps = cells[n:], fps[n:]
+                yield hot_rows(cells[:n], rows[:n])
+                cells, rows = cells[n:], rows[n:]
             if not len(cells):
                 continue
             last = int(np.searchsorted(cells, cells[-1], side="left"))
-            yield from split(cells[:last], fps[:last], out)
-            over, cells, fps = None, cells[last:], fps[last:]
+            yield from settled(cells[:last], rows[:last])
+            over, cells, rows = None, cells[last:], rows[last:]
             if len(cells) > hot_cell:
-                yield out(fps, fps, True)
-                over, cells, fps = cells[-1], cells[:0], fps[:0]
-        if len(cells):
-            yield from split(cells, fps, out)
-
-    def split(cells: np.ndarray, fps: np.ndarray, out) -> Iterator[pa.RecordBatch]:
-        if not len(cells):
-            return
-        starts = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
-        sizes = np.diff(np.concatenate((starts, [len(cells)])))
-        hot = np.repeat(sizes > hot_cell, sizes)
-        if hot.any():
-            yield out(fps[hot], fps[hot], True)
-        if not hot.all():
-            yield out(*_links(cells[~hot], fps[~hot], max_bits), False)
+                yield hot_rows(cells, rows)
+                over, cells, rows = cells[-1], cells[:0], rows[:0]
+        yield from settled(cells, rows)
+
+    cells = fps.select(*own).mapInArrow(spread, f"cell long, {longs(own)}")
+    cells = cells.repartition(partitions(spark), "cell").sortWithinPartitions("cell")
+    met = materialize(cells.mapInArrow(meet, f"{longs([*ends, 'hot'])}").distinct(), "cell_links")
+    links, hot = met.filter("hot < 0").select(*ends), met.filter("hot >= 0")
+    if hot.isEmpty():
+        return links
+    members = hot.select(F.col("hot").alias("cell"), *(F.col(f"a_{n}").alias(n) for n in own))
+    more = _flipped(members, max_bits) if width == 1 else _blockwise(members, max_bits, hot_cell, width)
+    return links.unionByName(more.select(*ends).distinct())
+
+
+def _flipped(members: DataFrame, max_bits: int) -> DataFrame:
+    """Links of hot cells' members through the bit strings within max_bits / 2 flips of each."""
 
     def flips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = [sum(1 << i for i in c) for r in range(max_bits // 2 + 1) for c in combinations(range(64), r)]
@@ -176,20 +231,46 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_cell: int =
             for at in range(0, len(own), 64):
                 part = own[at : at + 64]
                 key = (part[:, None] ^ masks[None, :]).ravel()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(np.repeat(part, len(masks)).view(np.int64))], ["cell", "fp"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.repeat(part, len(masks)).view(np.int64))], ["spot", "a_fp"])
 
-    cells = fps.select("fp").mapInArrow(spread, "cell long, fp long")
-    cells = cells.repartition(partitions(spark), "cell").sortWithinPartitions("cell")
-    met = materialize(cells.mapInArrow(meet, "a long, b long, hot boolean").distinct(), "cell_links")
-    links = met.filter("not hot").select("a", "b")
-    hot = met.filter("hot").select(F.col("a").alias("fp"))
-    if hot.isEmpty():
-        return links
-    spots = hot.repartition(partitions(spark), "fp").mapInArrow(flips, "cell long, fp long")
-    least = spots.groupBy("cell").agg(F.min("fp").alias("b"), F.count("*").alias("n")).filter("n > 1")
-    return links.unionByName(spots.join(least, "cell").select(F.col("fp").alias("a"), "b").filter("a != b").distinct())
+    own = members.select("fp").distinct().repartition(partitions(members.sparkSession), "fp")
+    spots = own.mapInArrow(flips, "spot long, a_fp long")
+    least = materialize(spots.groupBy("spot").agg(F.min("a_fp").alias("b_fp"), F.count("*").alias("n")).filter("n > 1").drop("n"), "spots")
+    return spots.join(least, "spot").select("a_fp", "b_fp").filter("a_fp <> b_fp")
+
+
+def _blockwise(members: DataFrame, max_bits: int, block: int, width: int) -> DataFrame:
+    """Links of hot cells' members: blocks of a cell meet pairwise, one pair of blocks a row, each giving a spanning forest."""
+    own, n = names_of(width), partitions(members.sparkSession)
+    ends = [f"{side}_{x}" for side in "ab" for x in own]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, base = 0, TaskContext.get().partitionId() << 33
+        for b in batches:
+            cells, rows = b.column(0).to_numpy(zero_copy_only=False), _array(b, 1, width)
+            for part in np.split(np.arange(len(cells)), np.flatnonzero(cells[1:] != cells[:-1]) + 1):
+                for at in range(0, len(part), block):
+                    some = part[at : at + block]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([int(cells[some[0]])]), pa.array([base + number]), pa.array([rows[some].tobytes()])], ["cell", "block", "rows"]
+                    )
+                    number += 1
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                x, y = (np.frombuffer(v, np.uint64).reshape(-1, width) for v in (x, y))
+                found = _forest(x if x.tobytes() == y.tobytes() else np.concatenate((x, y)), max_bits)
+                if found:
+                    a, c = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+                    yield pa.RecordBatch.from_arrays([*_columns(a), *_columns(c)], ends)
+
+    order = ["cell", *own]
+    blocks = members.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(pack, "cell long, block long, rows binary")
+    blocks = materialize(blocks, "hot_blocks")
+    other = blocks.select("cell", F.col("block").alias("block2"), F.col("rows").alias("rows2"))
+    pairs = blocks.join(other, "cell").filter("block <= block2").select("rows", "rows2").repartition(n)
+    return pairs.mapInArrow(compare, ", ".join(f"{x} long" for x in ends))
 
 
 def simhash_components(
@@ -199,21 +280,27 @@ def simhash_components(
     words_per_shingle: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
     hot_cell: int = HOT_CELL,
+    width: int = 1,
 ) -> DataFrame:
-    """One row per input row: ``key``, fingerprint (16 hex digits), component_id (least key reachable).
+    """One row per input row: ``key``, fingerprint (16 hex digits for each 64 bits), component_id (least key reachable).
 
     Null and wordless texts have fingerprint zero and link like any other; texts shorter than a shingle
     hash as a whole. Repeated rows repeat in the result. Null keys are carried along and never chosen as
     the least unless a component has no other. Empty input gives an empty result.
     """
-    own = materialize(fingerprints(docs, text, key, words_per_shingle), "fingerprints")
-    per_fp = own.groupBy("fp").agg(F.min("key").alias("least"))
-    roots = components(fingerprint_links(per_fp, max_bits, hot_cell)).withColumnRenamed("node", "fp")
-    per_fp = materialize(per_fp.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
-    ids = per_fp.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = per_fp.join(ids, "root").select("fp", "component_id")
-    return own.join(labels, "fp").select(
-        F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    names = names_of(width)
+    own = materialize(fingerprints(docs, text, key, words_per_shingle, width), "fingerprints")
+    per_fp = own.groupBy(*names).agg(F.min("key").alias("least"))
+    links = fingerprint_links(per_fp, max_bits, hot_cell, width)
+    ends = [F.col(f"{side}_fp") if width == 1 else F.struct(*(F.col(f"{side}_{n}").alias(n) for n in names)) for side in "ab"]
+    node = F.col("fp") if width == 1 else F.struct(*names)
+    roots = components(links.select(ends[0].alias("a"), ends[1].alias("b")))
+    per_fp = per_fp.withColumn("node", node).join(roots, "node", "left")
+    per_fp = materialize(per_fp.select(*names, "least", F.coalesce("root", "node").alias("root")), "roots")
+    ids = materialize(per_fp.groupBy("root").agg(F.min("least").alias("component_id")), "component_ids")
+    labels = materialize(per_fp.join(ids, "root").select(*names, "component_id"), "labels")
+    return own.join(labels, names).select(
+        F.col("key").alias(key), F.concat(*(F.lpad(F.lower(F.hex(n)), 16, "0") for n in names)).alias("fingerprint"), "component_id"
     )
 
 

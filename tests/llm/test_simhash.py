@@ -57,7 +57,7 @@ def test_links_connect_what_brute_force_connects(spark):
     want = brute_components(fps)
     for hot in (2048, 3):  # the second sends every larger cell down the path for hot cells
         links = simhash.fingerprint_links(spark.createDataFrame(rows, "fp long"), 4, hot).collect()
-        for a, b in links:
+        for a, b in ((r.a_fp, r.b_fp) for r in links):
             assert bin((a ^ b) & (2**64 - 1)).count("1") <= 4
         at = {int(np.int64(r[0])): i for i, r in enumerate(rows)}
         got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
@@ -69,6 +69,26 @@ def test_links_connect_what_brute_force_connects(spark):
         )
 
 
+def test_wide_links_are_verified_and_hot_cells_complete(spark):
+    rng = random.Random(8)
+    groups = []
+    for size in (1, 1, 2, 40, 60):
+        base = [rng.getrandbits(64), rng.getrandbits(64)]
+        groups.append([tuple(base)] + [(near(rng, base[0], 2), near(rng, base[1], rng.randint(0, 3))) for _ in range(size - 1)])
+    rows = sorted({f for g in groups for f in g})
+    signed = lambda f: tuple(int(np.uint64(x).astype(np.int64)) for x in f)
+    df = spark.createDataFrame([signed(f) for f in rows], "fp long, fp1 long")
+    found = []
+    for hot in (2048, 5):
+        links = [((r.a_fp, r.a_fp1), (r.b_fp, r.b_fp1)) for r in simhash.fingerprint_links(df, 20, hot, 2).collect()]
+        for a, b in links:
+            assert sum(bin((x ^ y) & (2**64 - 1)).count("1") for x, y in zip(a, b, strict=True)) <= 20
+        edges = spark.createDataFrame(links, "a struct<x:long,y:long>, b struct<x:long,y:long>")
+        got = {tuple(r.node): tuple(r.root) for r in components(edges).collect()}
+        found.append({frozenset(v for v in got if got[v] == root) for root in set(got.values())})
+    assert found[0] == found[1] == {frozenset(map(signed, g)) for g in groups if len(set(g)) > 1}
+
+
 def test_documents_with_odd_rows(spark):
     texts = {1: None, 2: "", 3: "one two three four five six", 4: "ONE two three four five six", 5: "short", 6: "word " * 5000}
     rows = [(d, t, "en", "en") for d, t in texts.items()] + [(6, texts[6], "en", "x"), (None, "short", None, None)]
@@ -79,6 +99,9 @@ def test_documents_with_odd_rows(spark):
     expect += [(6, f"{brute_fingerprint(texts[6]):016x}", want[6]), (None, f"{brute_fingerprint('short'):016x}", 5)]
     assert got == sorted(expect, key=str)
     assert simhash.simhash_components(df.limit(0)).collect() == []
+    wide = sorted(map(tuple, simhash.simhash_components(df, width=2, max_bits=20).collect()), key=str)
+    assert [(d, f[:16]) for d, f, _ in wide] == [(d, f) for d, f, _ in got] and {len(f) for _, f, _ in wide} == {32}
+    assert simhash.simhash_components(df.limit(0), width=2, max_bits=20).collect() == []
 
 
 def test_components_of_a_long_path_and_a_star(spark):
