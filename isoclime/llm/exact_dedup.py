@@ -91,7 +91,7 @@ def exact_dedup(
 
     rows = light.select("_row", "_key", "_sha").join(done, "_row")
     best = F.max(F.struct(F.col("_key"), (-F.col("_row")).alias("_first")))
-    groups = rows.groupBy("_level", "_name").agg(F.count("*").alias("group_size"), best.alias("_best"))
+    groups = materialize(rows.groupBy("_level", "_name").agg(F.count("*").alias("group_size"), best.alias("_best")), "groups")
     return rows.join(groups, ["_level", "_name"]).select(
         F.col("_key").alias(key),
         F.col("_best._key").alias("keep_id"),
