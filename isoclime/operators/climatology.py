@@ -41,12 +41,16 @@ def smooth_normals(normal: DataFrame, half: int = HALF, by: Sequence[str] = ())
 
 
 def partials(obs: DataFrame, value: str = "temp_mean") -> DataFrame:
-    """Count, sum and sum of squares of centred values per city, slot and year, with the centre."""
-    rows = keyed(obs, value)
-    centre = rows.groupBy("city_id").agg(F.avg("value").alias("centre"))
+    """Count, sum and sum of squares of centred values per city, slot and year, with the centre and the city's years.
+
+    Centre and years come from one window per city (whose series the calendar bounds), so the observations
+    are read once and joined with nothing.
+    """
+    city = Window.partitionBy("city_id")
+    rows = keyed(obs, value).withColumn("centre", F.avg("value").over(city)).withColumn("years", F.collect_set("year").over(city))
     x = F.col("value") - F.col("centre")
-    return rows.join(centre, "city_id").groupBy("city_id", "slot", "year").agg(
-        F.count("*").alias("n"), F.sum(x).alias("s"), F.sum(x * x).alias("q"), F.first("centre").alias("centre")
+    return rows.groupBy("city_id", "slot", "year").agg(
+        F.count("*").alias("n"), F.sum(x).alias("s"), F.sum(x * x).alias("q"), F.first("centre").alias("centre"), F.first("years").alias("years")
     )
 
 
@@ -55,7 +59,7 @@ def window_partials(parts: DataFrame, half: int = HALF) -> DataFrame:
     if not half:
         return parts
     near = parts.withColumn("slot", F.explode(F.array(*(shift_slot(F.col("slot"), F.lit(o)) for o in range(-half, half + 1)))))
-    return near.groupBy("city_id", "slot", "year").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"), F.first("centre").alias("centre"))
+    return near.groupBy("city_id", "slot", "year").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"), F.first("centre").alias("centre"), F.first("years").alias("years"))
 
 
 def _finish(n: Column, s: Column, q: Column) -> list[Column]:
@@ -82,15 +86,17 @@ def loyo_normals(obs: DataFrame, value: str = "temp_mean", half: int = HALF, poo
     years; years outside it still get normals. Rows exist for every year a city has.
     """
     parts = partials(obs, value)
-    years = parts.select("city_id", F.col("year").alias("ref_key")).distinct()
     if reference_years is not None:
         parts = parts.filter(F.col("year").isin(list(reference_years)))
     own = window_partials(parts, half if pooling == "pooled" else 0)
-    total = own.groupBy("city_id", "slot").agg(F.sum("n").alias("n_all"), F.sum("s").alias("s_all"), F.sum("q").alias("q_all"), F.first("centre").alias("centre"))
-    grid = total.join(years, "city_id").join(own.drop("centre").withColumnRenamed("year", "ref_key"), ["city_id", "slot", "ref_key"], "left")
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    left = _finish(F.col("n_all") - zero("n"), F.col("s_all") - zero("s"), F.col("q_all") - zero("q"))
-    out = grid.select("city_id", "slot", "ref_key", *left).filter("n >= 2")
+    total = own.groupBy("city_id", "slot").agg(
+        F.sum("n").alias("n_all"), F.sum("s").alias("s_all"), F.sum("q").alias("q_all"), F.first("centre").alias("centre"), F.first("years").alias("years"),
+        F.collect_list(F.struct("year", "n", "s", "q")).alias("by_year"),
+    )
+    grid = total.withColumn("ref_key", F.explode("years"))
+    own_part = F.get(F.filter("by_year", lambda p: p["year"] == F.col("ref_key")), F.lit(0))
+    less = lambda name: F.col(f"{name}_all") - F.coalesce(own_part[name], F.lit(0))
+    out = grid.select("city_id", "slot", "ref_key", *_finish(less("n"), less("s"), less("q"))).filter("n >= 2")
     return out if pooling == "pooled" else smooth_normals(out, half, ["ref_key"])
 
 
@@ -133,7 +139,7 @@ def guarded_zscore(obs: DataFrame, value: str = "temp_mean", half: int = HALF, g
     """
     rows = keyed(obs, value)
     centre = rows.groupBy("city_id").agg(F.avg("value").alias("centre"))
-    own = window_partials(partials(obs, value), half)
+    own = window_partials(partials(obs, value), half).drop("years")
     total = own.groupBy("city_id", "slot").agg(F.sum("n").alias("n_all"), F.sum("s").alias("s_all"), F.sum("q").alias("q_all"))
     edge = (F.col("slot") <= guard_days) | (F.col("slot") > 366 - guard_days)
     near = rows.filter(edge)

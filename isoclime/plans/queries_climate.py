@@ -10,6 +10,7 @@ from isoclime.operators import climatology as clim
 from isoclime.operators import evaluation as ev
 from isoclime.operators import features as ft
 from isoclime.operators import model as ml
+from isoclime.operators.cleaning import dedup_latest
 from isoclime.operators.star import dim_cities
 from isoclime.plans import views
 from isoclime.plans.queries_base import r
@@ -33,12 +34,17 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
-def pooled(spark: SparkSession, d: str) -> DataFrame:
-    """The flagged series with pooled own-year-out normals, from the deduplicated raw layer."""
-    from isoclime.operators.cleaning import dedup_latest
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back: what several steps read is computed once."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
 
-    silver = dedup_latest(proxies.bronze(spark, d), ["city_id", "obs_date"], ["ingested_at"], ["seq"])
-    return clim.anomalies(silver, pooling="pooled")
+def pooled(spark: SparkSession, d: str) -> DataFrame:
+    """The flagged series with pooled own-year-out normals, from the deduplicated raw layer; silver and flags are written."""
+    silver = saved(dedup_latest(proxies.bronze(spark, d), ["city_id", "obs_date"], ["ingested_at"], ["seq"]), "silver")
+    return saved(clim.anomalies(silver, pooling="pooled"), "flags")
 
 
 def daily(spark: SparkSession, d: str) -> DataFrame:
@@ -366,8 +372,9 @@ CUMULATED = """, k AS (SELECT score AS s0, count(*) AS n, sum(label) AS pos FROM
 
 
 def persistence(spark: SparkSession, d: str) -> DataFrame:
-    scores = ev.persistence_baseline(pooled(spark, d)).select("city_id", "obs_date", "score")
-    return labelled(spark, d).join(scores, ["city_id", "obs_date"])
+    flags = pooled(spark, d)
+    rows = ft.chronological_split(ft.forward_label(flags), TRAIN_END, VAL_END)
+    return saved(rows.join(ev.persistence_baseline(flags).select("city_id", "obs_date", "score"), ["city_id", "obs_date"]), "persistence")
 
 
 def climate(spark: SparkSession, d: str) -> DataFrame:
@@ -387,7 +394,7 @@ def f2(spark: SparkSession, d: str) -> DataFrame:
 
 def rounded(spark: SparkSession, d: str) -> DataFrame:
     """The climatology baseline with rounded scores, so that equal scores are equal wherever they were computed."""
-    return climate(spark, d).withColumn("score", F.round("score", 6))
+    return saved(climate(spark, d).withColumn("score", F.round("score", 6)), "scores")
 
 
 ROUNDED = CLIMATE.replace("coalesce(bw.a, bc.a, (SELECT avg(label) FROM tr)) AS score", "round(coalesce(bw.a, bc.a, (SELECT avg(label) FROM tr)), 6) AS score")
@@ -483,9 +490,7 @@ def f10_beats(spark: SparkSession, d: str) -> DataFrame:
 
 def saved_features(spark: SparkSession, d: str) -> DataFrame:
     """The feature table, written and read back: models pass over it many times."""
-    path = scratch(spark, "features")
-    ft.chronological_split(feature_rows(spark, d), TRAIN_END, VAL_END).write.partitionBy("year").parquet(path)
-    return spark.read.parquet(path)
+    return saved(ft.chronological_split(feature_rows(spark, d), TRAIN_END, VAL_END), "features")
 
 
 def small_model(rows: DataFrame):
