@@ -137,8 +137,9 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
 
 
-def _spans(rows: list[tuple[bytes, np.ndarray]]) -> pa.RecordBatch:
-    found = [(sid, *_runs(flags)) for sid, flags in rows if flags.any()]
+def _spans(rows: list[tuple[bytes, int, np.ndarray]]) -> pa.RecordBatch:
+    """Runs of repeated windows of (segment, number of the first window, flags)."""
+    found = [(sid, *(base + x for x in _runs(flags))) for sid, base, flags in rows if flags.any()]
     arrays = [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.list_(pa.int64())), pa.array([f[2] for f in found], pa.list_(pa.int64()))]
     return pa.RecordBatch.from_arrays(arrays, ["sid", "first", "last"])
 
@@ -147,51 +148,32 @@ SPANS = "sid binary, first array<long>, last array<long>"
 
 
 def _sharded(distinct: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """Spans of distinct segments (h, sid, weight, part); rows of a group beyond a shard come back with their part instead."""
+    """Spans of distinct segments (h, sid, weight, part) whose groups fit a shard: whole groups of h share suffix arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held, group, size, value, over = [], 0, [], 0, None, False
+        shard, held, group, size, value = [], 0, [], 0, None
 
         def solved(rows: list) -> Iterator[pa.RecordBatch]:
             if rows:
                 flags = repeated_windows([r[2] for r in rows], [r[1] for r in rows], length)
-                b = _spans([(r[0], f) for r, f in zip(rows, flags, strict=True)])
-                n = b.num_rows
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names)
-
-        def passed(rows: list) -> Iterator[pa.RecordBatch]:
-            if rows:
-                none = pa.nulls(len(rows), pa.list_(pa.int64()))
-                cells = [pa.array([r[i] for r in rows], k) for i, k in ((0, pa.binary()), (1, pa.int64()), (2, pa.binary()))]
-                yield pa.RecordBatch.from_arrays([cells[0], none, none, cells[1], cells[2]], names)
+                yield _spans([(r[0], 0, f) for r, f in zip(rows, flags, strict=True)])
 
         for b in batches:
             for h, sid, weight, part in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if h != value:
-                    if over:
-                        yield from passed(group)
-                        group, size = [], 0
                     if held + size > shard_bytes:
                         yield from solved(shard)
                         shard, held = [], 0
-                    shard, held, group, size, value, over = shard + group, held + size, [], 0, h, False
+                    shard, held, group, size, value = shard + group, held + size, [], 0, h
                 group.append((sid, weight, part))
                 size += len(part)
-                if (over and len(group) == 256) or (size > shard_bytes and (over or len(group) > 1)):
-                    over = True
-                    yield from passed(group)
-                    group, size = [], 0
-        if over:
-            yield from passed(group)
-            group, size = [], 0
         if held + size > shard_bytes:
             yield from solved(shard)
             shard = []
         yield from solved(shard + group)
 
-    names = ["sid", "first", "last", "weight", "part"]
     rows = distinct.select("h", "sid", "weight", "part").repartition(partitions(distinct.sparkSession), "h")
-    return rows.sortWithinPartitions("h", "sid").mapInArrow(run, SPANS + ", weight long, part binary")
+    return rows.sortWithinPartitions("h", "sid").mapInArrow(run, SPANS)
 
 
 def _digests(parts: list[bytes], length: int) -> np.ndarray:
@@ -207,31 +189,32 @@ def _dealt(large: DataFrame, length: int, chunk_bytes: int, bucket_windows: int)
     """Spans of segments of groups beyond a shard, by exchanging the digests of windows between chunks."""
 
     def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, n, rows, size = TaskContext.get().partitionId() << 33, 0, [], 0
+        first, n, rows, size = TaskContext.get().partitionId() << 33, 0, [], 0
 
         def row() -> pa.RecordBatch:
-            cells = [[base + n], *([[r[i] for r in rows]] for i in range(3))]
-            kinds = [pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.binary())]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds, strict=True)], ["chunk", "sids", "weights", "parts"])
+            cells = [[first + n], *([[r[i] for r in rows]] for i in range(4))]
+            kinds = [pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary())]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds, strict=True)], ["chunk", "sids", "bases", "weights", "parts"])
 
         for b in batches:
-            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                rows.append(r)
-                size += len(r[2])
-                if size >= chunk_bytes:
-                    yield row()
-                    n, rows, size = n + 1, [], 0
+            for sid, weight, part in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for at in range(0, max(len(part) - length + 1, 1), chunk_bytes):  # a long part is cut, each window staying whole
+                    rows.append((sid, at, weight, part[at : at + chunk_bytes + length - 1]))
+                    size += len(rows[-1][3])
+                    if size >= chunk_bytes:
+                        yield row()
+                        n, rows, size = n + 1, [], 0
         if rows:
             yield row()
 
     chunks = large.select("sid", "weight", "part").repartition(partitions(large.sparkSession))
-    chunks = materialize(chunks.mapInArrow(chunked, "chunk long, sids array<binary>, weights array<long>, parts array<binary>"), "chunks")
+    chunks = materialize(chunks.mapInArrow(chunked, "chunk long, sids array<binary>, bases array<long>, weights array<long>, parts array<binary>"), "chunks")
     total = chunks.agg(F.sum(F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + F.octet_length(p)))).first()[0]
     buckets = 1 + (total or 0) // bucket_windows
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for chunk, weights, parts in zip(*(b.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
+            for chunk, weights, parts in zip(*(b.column(i).to_pylist() for i in (0, 3, 4)), strict=True):
                 digests = _digests(parts, length)
                 own = np.repeat(np.array(weights, np.float64), [max(len(p) - length + 1, 0) for p in parts])
                 unique, inverse = np.unique(digests, return_inverse=True)
@@ -256,15 +239,15 @@ def _dealt(large: DataFrame, length: int, chunk_bytes: int, bucket_windows: int)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for sids, parts, repeated in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for sids, bases, parts, repeated in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 flags = np.isin(_digests(parts, length), np.frombuffer(b"".join(repeated), "V16"))
                 cuts = list(accumulate(max(len(p) - length + 1, 0) for p in parts))[:-1]
-                yield _spans(list(zip(sids, np.split(flags, cuts), strict=True)))
+                yield _spans(list(zip(sids, bases, np.split(flags, cuts), strict=True)))
 
     asked = chunks.mapInArrow(ask, "bucket long, chunk long, digests binary, sums binary")
     told = asked.groupBy("bucket").applyInArrow(answer, "chunk long, repeated binary")
     told = told.groupBy("chunk").agg(F.collect_list("repeated").alias("repeated"))
-    return chunks.select("chunk", "sids", "parts").join(told, "chunk").select("sids", "parts", "repeated").mapInArrow(settle, SPANS)
+    return chunks.select("chunk", "sids", "bases", "parts").join(told, "chunk").select("sids", "bases", "parts", "repeated").mapInArrow(settle, SPANS)
 
 
 def _table(df: DataFrame, name: str, key: str) -> DataFrame:
@@ -330,9 +313,9 @@ def remove_repeats(
                 yield pa.RecordBatch.from_arrays(
                     [
                         _signed(value), pa.array(sids, pa.binary()), pa.array([tids[d] for d in of], pa.int64()), pa.array([shas[d] for d in of], pa.binary()),
-                        pa.array(first), pa.array([counts[d] for d in of], pa.int64()), pa.array(parts, pa.binary()),
+                        pa.array(first), pa.array([counts[d] for d in of], pa.int64()), pa.array(last - first + length), pa.array(parts, pa.binary()),
                     ],
-                    ["h", "sid", "tid", "sha", "at", "n", "part"],
+                    ["h", "sid", "tid", "sha", "at", "n", "size", "part"],
                 )
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,12 +340,16 @@ def remove_repeats(
     found = unique.select("tid", "body").mapInArrow(occurrences, "h long, tid long").join(several, "h")
     wanted = found.groupBy("tid").agg(F.collect_list("h").alias("hs"))
     with_values = unique.join(wanted, "tid").select("tid", "sha", "n", "body", "hs")
-    cuts = materialize(with_values.mapInArrow(cut, "h long, sid binary, tid long, sha binary, at long, n long, part binary"), "segments")
+    cuts = materialize(with_values.mapInArrow(cut, "h long, sid binary, tid long, sha binary, at long, n long, size long, part binary"), "segments")
     distinct = cuts.groupBy("h", "sid").agg(F.sum("n").alias("weight"), F.first("part").alias("part"))
-    solved = materialize(_sharded(distinct, length, shard_bytes), "spans")
-    spans, large = solved.filter("part IS NULL").select("sid", "first", "last"), solved.filter("part IS NOT NULL")
-    if not large.isEmpty():
-        spans = spans.unionByName(materialize(_dealt(large, length, chunk_bytes, bucket_windows), "large_spans"))
+    sizes = cuts.groupBy("h", "sid").agg(F.max("size").alias("size")).groupBy("h").agg(F.sum("size").alias("size"))
+    large = sizes.filter(F.col("size") > shard_bytes)
+    large = materialize(large.select("h"), "large_groups")
+    if large.isEmpty():
+        spans = materialize(_sharded(distinct, length, shard_bytes), "spans")
+    else:
+        spans = _sharded(distinct.join(large, "h", "left_anti"), length, shard_bytes)
+        spans = materialize(spans.unionByName(_dealt(distinct.join(large, "h", "left_semi"), length, chunk_bytes, bucket_windows)), "spans")
     placed = cuts.select("sid", "tid", "sha", "at").join(spans, "sid")
     placed = placed.select("tid", "sha", "at", F.explode(F.arrays_zip("first", "last")).alias("s"))
     span = F.struct("sha", (F.col("at") + F.col("s.first")).alias("first"), (F.col("at") + F.col("s.last")).alias("last"))
