@@ -90,7 +90,7 @@ def _sort_names(names: np.ndarray) -> np.ndarray:
     """Order of the suffixes of a string of names by naming spans of 1, 2, 4, ... until all differ."""
     n = len(names)
     rank, span = names.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     while True:
         sorted_rank = rank[order]
         fresh = np.concatenate(([True], sorted_rank[1:] != sorted_rank[:-1]))
@@ -103,7 +103,7 @@ def _sort_names(names: np.ndarray) -> np.ndarray:
         places = np.flatnonzero(open_)
         who = order[places]
         nxt = np.where(who + span < n, rank[np.minimum(who + span, n - 1)] + 1, 0)
-        inner = np.lexsort((nxt, rank[who]))
+        inner = np.argsort(rank[who] * (n + 1) + nxt)
         order[places] = who[inner]
         nxt = nxt[inner]
         group = rank[order[places]]
@@ -140,18 +140,20 @@ def permuted_lcp(t: np.ndarray, sa: np.ndarray) -> np.ndarray:
     """Length of the common prefix of each suffix with its predecessor in ``sa``, by text position.
 
     A suffix whose left neighbour symbol equals its predecessor's has one less than the suffix before it;
-    only the others are compared, four symbols at a step. Symbols must fit 16 bits.
+    only the others are compared, a word of symbols at a step. Symbols must fit 16 bits.
     """
     n = len(t)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
-    data = np.zeros(n + 8, np.uint16)
+    kind = np.uint8 if int(t.max()) < 256 else np.uint16
+    per_word = 8 // np.dtype(kind).itemsize
+    data = np.zeros(n + per_word, kind)
     data[:n] = t
     at = np.arange(n)
     left = np.where(before > 0, t[np.maximum(before - 1, 0)].astype(np.int32), -1)
     follows = np.concatenate(([False], left[1:] == t[:-1])) & (before > 0)
     heads = np.flatnonzero(~follows & (before >= 0))
-    words = np.lib.stride_tricks.sliding_window_view(data, 4)
+    words = np.lib.stride_tricks.sliding_window_view(data, per_word)
     words = np.ascontiguousarray(words).view(np.uint64).ravel()
     common = np.zeros(n, np.int64)
     live, depth = heads, 0
@@ -162,9 +164,9 @@ def permuted_lcp(t: np.ndarray, sa: np.ndarray) -> np.ndarray:
         equal = x == 0
         ended = live[~equal]
         low = x[~equal] & (~x[~equal] + np.uint64(1))
-        common[ended] = depth + np.bitwise_count(low - np.uint64(1)).astype(np.int64) // 16
+        common[ended] = depth + np.bitwise_count(low - np.uint64(1)).astype(np.int64) // (64 // per_word)
         live = live[equal]
-        common[live] = depth + 4
-        depth += 4
+        common[live] = depth + per_word
+        depth += per_word
     last = np.maximum.accumulate(np.where(~follows, at, 0))
     return np.maximum(common[last] - (at - last), 0)
