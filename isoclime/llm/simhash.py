@@ -18,6 +18,11 @@ one can spare: two documents are candidates if any half of any of them is close
 if all bits together differ in at most ``max_bits``. Candidates are then a matter of chance, more likely the
 closer two texts are (measured in the README); what is linked is still verified on all bits, and hot cells
 are compared exactly, block against block in separate tasks.
+
+``jaccard_components`` settles near copies by the exact Jaccard similarity of their shingle sets. Wide
+fingerprints and MinHash bands only say who is looked at: two sets of similarity J share none of ``BANDS``
+bands of ``BAND_ROWS`` minima with probability (1 - J**BAND_ROWS)**BANDS, 2.6e-5 at 0.8 and less above. All
+sets of one component of candidates then meet, and a link is what reaches the threshold.
 """
 
 from __future__ import annotations
@@ -36,6 +41,7 @@ from .common import materialize, partitions, table
 from .components import components
 
 SHINGLE_WORDS, MAX_BITS, HOT_CELL = 4, 4, 2048
+BANDS, BAND_ROWS, BLOCK_HASHES, FILTER_BITS = 20, 4, 1 << 21, 1 << 26
 SEGMENTS = np.uint64(0x5555555555555555)
 
 
@@ -44,18 +50,28 @@ def fingerprint(text: str | None, words_per_shingle: int = SHINGLE_WORDS) -> int
     return int(wide_fingerprint(text, words_per_shingle, 1)[0])
 
 
-def wide_fingerprint(text: str | None, words_per_shingle: int, width: int) -> np.ndarray:
-    """``width`` SimHashes; the first from the shingles' hashes, each other from those remixed."""
+def shingle_hashes(text: str | None, words_per_shingle: int) -> np.ndarray:
+    """64-bit hashes of the word shingles, repeats kept; no word: none."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return np.zeros(width, np.uint64)
+        return np.zeros(0, np.uint64)
     k = min(words_per_shingle, len(words))
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate(([0], ends[:-1]))
     digest = xxhash.xxh64_intdigest
     spans = zip(starts[: len(words) - k + 1].tolist(), (ends[k - 1 :] - 1).tolist(), strict=True)
-    hashes = np.array([digest(joined[i:j], 42) for i, j in spans], np.uint64)
+    return np.array([digest(joined[i:j], 42) for i, j in spans], np.uint64)
+
+
+def wide_fingerprint(text: str | None, words_per_shingle: int, width: int) -> np.ndarray:
+    """``width`` SimHashes; the first from the shingles' hashes, each other from those remixed."""
+    return _wide(shingle_hashes(text, words_per_shingle), width)
+
+
+def _wide(hashes: np.ndarray, width: int) -> np.ndarray:
+    if not len(hashes):
+        return np.zeros(width, np.uint64)
     out = []
     for _ in range(width):
         ones = np.zeros(64, np.int64)
@@ -304,5 +320,160 @@ def simhash_components(
     )
 
 
+_MINIMA = np.random.default_rng(80).integers(1 << 63, size=(3, BANDS * BAND_ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _set_of(hashes: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The digest of a shingle set, and its hashes, sorted; no word: the set of the hash zero."""
+    own = np.unique(hashes) if len(hashes) else np.zeros(1, np.uint64)
+    return xxhash.xxh3_128_digest(own.tobytes()), own
+
+
+def _bands(own: np.ndarray) -> np.ndarray:
+    """One 64-bit name for each band of minima of a shingle set."""
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(own), 1 << 10):
+        x = (own[at : at + (1 << 10), None] ^ _MINIMA[0]) * _MINIMA[1]
+        x ^= x >> np.uint64(32)
+        least = np.minimum(least, (x * _MINIMA[2]).min(axis=0))
+    rows = least.reshape(BANDS, BAND_ROWS)
+    return np.array([xxhash.xxh3_64_intdigest(r.tobytes(), i) for i, r in enumerate(rows)], np.uint64).view(np.int64)
+
+
+def _jaccard_forest(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of sets (sorted, not empty) whose Jaccard similarity is ``threshold`` or more."""
+    out, every = [], np.array([len(s) for s in sets])
+    names, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    own = np.split(ids, np.cumsum(every)[:-1])
+    mark, rest = np.zeros(len(names), bool), np.arange(len(sets))
+    while len(rest) > 1:
+        queue, rest = [int(rest[0])], rest[1:]
+        flat = np.concatenate([own[i] for i in rest])
+        while queue and len(rest):
+            at = queue.pop()
+            mark[own[at]] = True
+            sizes = every[rest]
+            common = np.add.reduceat(mark[flat], np.cumsum(sizes) - sizes, dtype=np.int64)
+            mark[own[at]] = False
+            near = common / (every[at] + sizes - common) >= threshold
+            if near.any():
+                found = rest[near].tolist()
+                out += [(at, i) for i in found]
+                queue += found
+                flat, rest = flat[np.repeat(~near, sizes)], rest[~near]
+    return out
+
+
+def _star(members: DataFrame, group: str, label: str) -> DataFrame:
+    """(a, b): every ``node`` of a group of two or more, and the least of the group."""
+    least = members.groupBy(group).agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return members.join(materialize(least, label), group).select(F.col("node").alias("a"), "b").filter("a <> b")
+
+
+def _candidates(own: DataFrame, max_bits: int, hot_cell: int, width: int) -> DataFrame:
+    """(a, b): links between nodes that connect whatever shares a band or is linked by fingerprints."""
+    names = names_of(width)
+    bands = own.select("node", F.explode("bands").alias("band"))
+    fp = lambda side: F.struct(*(F.col(f"{side}{n}").alias(n) for n in names))
+    members = own.select("node", fp("").alias("fps"))
+    per_fp = materialize(members.groupBy("fps").agg(F.min("node").alias("node")), "fingerprint_nodes")
+    links = fingerprint_links(per_fp.select("fps.*"), max_bits, hot_cell, width)
+    links = links.select(fp("a_").alias("x"), fp("b_").alias("y")).filter("x <> y")
+    for end, name in (("x", "a"), ("y", "b")):
+        links = links.join(per_fp.select(F.col("fps").alias(end), F.col("node").alias(name)), end)
+    return _star(bands, "band", "bands").unionByName(_star(members, "fps", "same_fingerprints")).unionByName(links.select("a", "b"))
+
+
+def jaccard_components(
+    docs: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    words_per_shingle: int = SHINGLE_WORDS,
+    threshold: float = 0.8,
+    max_bits: int = MAX_BITS,
+    width: int = 1,
+    hot_cell: int = HOT_CELL,
+    block: int = BLOCK_HASHES,
+) -> DataFrame:
+    """One row per input row: ``key``, component_id (least key reachable by links of Jaccard ``threshold`` or more).
+
+    Only distinct sets are compared; wordless texts are one set. Components of candidates whose sets hold
+    more than ``block`` hashes are cut into blocks that meet pairwise in separate groups. Sets are made
+    again from the text for candidates alone. Keys are not null.
+    """
+    spark, names = docs.sparkSession, names_of(width)
+    src = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    kind = src.schema["key"].dataType.simpleString()
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            nodes, sizes, bands, fps = [], [], [], []
+            for t in b.column(1).to_pylist():
+                hashes = shingle_hashes(t, words_per_shingle)
+                node, own = _set_of(hashes)
+                nodes.append(node)
+                sizes.append(len(own))
+                bands.append(_bands(own))
+                fps.append(_wide(hashes, width))
+            fps = np.array(fps, np.uint64).reshape(-1, width)
+            columns = [b.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), *_columns(fps)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "node", "size", "bands", *names])
+
+    longs = ", ".join(f"{n} long" for n in names)
+    rows = materialize(src.mapInArrow(describe, f"key {kind}, node binary, size long, bands array<long>, {longs}"), "shingle_sets")
+    own = rows.groupBy("node").agg(F.min("key").alias("least"), *(F.first(c).alias(c) for c in ("size", "bands", *names)))
+    own = materialize(own, "nodes")
+    roots = components(_candidates(own, max_bits, hot_cell, width))
+    chosen = materialize(own.select("node", "least", "size").join(roots, "node"), "candidates")
+
+    spot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    at = chosen.select(spot("least").alias("at")).filter("at > 0").groupBy(F.expr("bitmap_bucket_number(at)").alias("bucket"))
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in at.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits")).collect():  # at most 8 MB
+        first = (r.bucket - 1) * 4096
+        part = np.frombuffer(bytes(r.bits), np.uint8)
+        bits[first : first + len(part)] = part[: len(bits) - first]
+    shared = spark.sparkContext.broadcast(bits)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            # bitmap buckets count from 1: bucket k + 1 holds k * 32768 + 1 .. (k + 1) * 32768; spot 0 is in none and always let through
+            spots = b.column(0).to_numpy(zero_copy_only=False) - 1
+            held = (spots < 0) | (shared.value[spots >> 3] >> (spots & 7) & 1 > 0)
+            got = [_set_of(shingle_hashes(t, words_per_shingle)) for t in b.column(1).filter(pa.array(held)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.binary()), pa.array([g[1].tobytes() for g in got], pa.binary())], ["node", "hashes"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def linked(nodes: list[bytes], members: list[bytes]) -> pa.RecordBatch:
+            pairs = _jaccard_forest([np.frombuffer(m, np.uint64) for m in members], threshold)
+            return pa.RecordBatch.from_arrays([pa.array([nodes[p[i]] for p in pairs], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+        group, nodes, members = None, [], []
+        for b in batches:
+            for g, node, some in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if g != group:
+                    if len(nodes) > 1:
+                        yield linked(nodes, members)
+                    group, nodes, members = g, [], []
+                nodes.append(node)
+                members.append(some)
+        if len(nodes) > 1:
+            yield linked(nodes, members)
+
+    blocks = F.ceil(F.col("weight") / block)
+    weights = chosen.groupBy("root").agg(F.sum("size").alias("weight")).select("root", blocks.alias("blocks"))
+    placed = chosen.select("node", "root").join(weights, "root").withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    placed = placed.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).filter("blocks = 1 OR i <> j")
+    placed = placed.select("node", F.xxhash64("root", F.least("i", "j"), F.greatest("i", "j")).alias("group"))  # a shared hash only adds comparisons
+    found = src.select(spot("key").alias("spot"), "text").mapInArrow(sets, "node binary, hashes binary")
+    met = found.join(placed, "node").select("group", "node", "hashes").repartition(partitions(spark), "group").sortWithinPartitions("group")
+    links = components(met.mapInArrow(compare, "a binary, b binary"))
+    labels = own.select("node", "least").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    labels = materialize(labels.select("node", "least", "root"), "labels")
+    ids = materialize(labels.groupBy("root").agg(F.min("least").alias("component_id")), "component_ids")
+    labels = labels.join(ids, "root").select("node", "component_id")
+    return rows.select("key", "node").join(labels, "node").select(F.col("key").alias(key), "component_id")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
