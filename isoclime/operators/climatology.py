@@ -200,9 +200,11 @@ def leap_audit(obs: DataFrame, z: DataFrame, value: str = "temp_mean") -> DataFr
     return a.join(b).withColumn("ok", F.expr("rows_before = rows_after AND feb29_before = feb29_after AND feb29_slots IN ('', '60') AND mar1_slots IN ('', '61')"))
 
 
-def leakage_audit(obs: DataFrame, z: DataFrame, cities: Sequence[int], value: str = "temp_mean", half: int = HALF) -> DataFrame:
-    """Per city of a sample: pooled baselines recomputed directly from other years' samples; rows and largest differences."""
-    rows = keyed(obs, value).filter(F.col("city_id").isin(list(cities)))
+def leakage_audit(obs: DataFrame, z: DataFrame, cities: Sequence[int] | None = None, value: str = "temp_mean", half: int = HALF) -> DataFrame:
+    """Per city (all, or those of ``cities``): pooled baselines recomputed directly from other years' samples; rows and largest differences."""
+    rows = keyed(obs, value)
+    if cities is not None:
+        rows = rows.filter(F.col("city_id").isin(list(cities)))
     spread = rows.select("city_id", F.col("year").alias("other_year"), F.col("value").alias("other"), F.explode(F.array(*(shift_slot(F.col("slot"), F.lit(o)) for o in range(-half, half + 1)))).alias("slot"))
     direct = rows.join(spread, ["city_id", "slot"]).filter("year <> other_year").groupBy("city_id", "obs_date")
     direct = direct.agg(F.avg("other").alias("mu2"), F.stddev_samp("other").alias("sigma2"), F.count("*").alias("n2"))
