@@ -497,6 +497,15 @@ def small_model(rows: DataFrame):
     return ml.train(rows.filter("split = 'train'"), max_iter=5, depth=3)
 
 
+BACKGROUND = 16
+
+
+def background(rows: DataFrame, n: int = BACKGROUND) -> DataFrame:
+    """Training rows chosen by a seeded hash of city and date, so spread over both."""
+    spot = F.xxhash64(F.lit(ml.SEED), "city_id", "obs_date")
+    return rows.filter("split = 'train'").orderBy(spot, "city_id", "obs_date").limit(n)
+
+
 @query("f3_train_predict")
 def f3(spark: SparkSession, d: str) -> DataFrame:
     rows = saved_features(spark, d)
@@ -506,16 +515,14 @@ def f3(spark: SparkSession, d: str) -> DataFrame:
 @query("f11_shapley_importance")
 def f11(spark: SparkSession, d: str) -> DataFrame:
     rows = saved_features(spark, d)
-    sample = rows.filter("split = 'test'").orderBy("obs_date", "city_id").limit(6)
-    back_ = rows.filter("split = 'train'").orderBy("obs_date", "city_id").limit(6)
-    return ml.mean_importance(ml.shapley_importance(small_model(rows), sample, back_, 2)).select("feature", r("importance", 6))
+    model = ml.train(rows.filter("split = 'train'"))
+    return ml.mean_importance(ml.shapley_importance(model, rows.filter("split = 'test'"), background(rows), 2)).select("feature", r("importance", 6))
 
 
 @query("f12_permutation_importance")
 def f12(spark: SparkSession, d: str) -> DataFrame:
     rows = saved_features(spark, d)
-    sample = rows.filter("split = 'validate'").orderBy("obs_date", "city_id").limit(2000)
-    return ml.permutation_importance(small_model(rows), sample, ["z_now", "temp_mean_mean30", "doy_sin"])
+    return ml.permutation_importance(ml.train(rows.filter("split = 'train'")), rows.filter("split = 'validate'"), ft.FEATURES)
 
 
 @query("f13_predict")
