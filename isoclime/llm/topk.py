@@ -7,13 +7,14 @@ bitmaps; the sums come out as slices too. Top rows are then selected from the mo
 downward. What quantisation dropped is bounded, so every row that could still belong to the top k lies within
 a known distance of the k-th quantised sum; those boundary rows are scored exactly.
 
-Blocks hold up to ``block_rows`` vectors and meet queries in chunks of up to ``chunk_queries``: every task
-sees one block and one chunk, and what leaves it is k rows a query. Nothing is broadcast.
+Blocks hold up to ``block_rows`` vectors and stay whole: the queries, a small share of the rows, come to every
+block in chunks of up to ``chunk_queries`` and stream past it, and what leaves is k rows a query and block. Where
+there are fewer blocks than tasks, a block is copied into lanes that share the chunks; copies never exceed the
+number of tasks. A task holds one block and one chunk at a time. Nothing is broadcast.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -23,10 +24,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, partitions, table
 
 K, SCALE, EVERY = 10, 1024, 100
-BLOCK_ROWS, CHUNK_QUERIES, PRECISION = 1 << 16, 128, 7
+BLOCK_ROWS, CHUNK_QUERIES, PRECISION = 1 << 16, 32, 7
 
 
 def quantised(embedding: Column, scale: int = SCALE) -> Column:
@@ -200,38 +201,59 @@ def search(index: DataFrame, queries: DataFrame, k: int = K, chunk_queries: int
     Ranks are by score, then smaller vec_id (null last). A query given twice is answered twice. Vectors of
     other lengths count as padded with zeros. Queries with fewer than k candidates get all of them.
     """
-    queries = materialize(queries.withColumn("number", F.monotonically_increasing_id()), "queries")
-    chunks = max(1, math.ceil(queries.count() / chunk_queries))
-    chunk = F.pmod(F.xxhash64("number"), F.lit(chunks)).cast("int")
-    blocks = index.filter("attribute = -1").select("block")
-    n_blocks = blocks.agg(F.coalesce(F.max("block"), F.lit(-1))).first()[0] + 1
-    sides = index.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    asked = queries.withColumn("chunk", chunk).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(n_blocks - 1, 0)))))
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"number": [], "query_id": [], "vec_id": [], "score": []}
-        left = left.sort_by("attribute").to_pylist()
-        if left and right.num_rows:
-            ids = np.array([np.iinfo(np.int64).max if i is None else i for i in left[0]["ids"]], np.int64)
-            known = np.array([i is not None for i in left[0]["ids"]])
-            words = -(-len(ids) // 64)
-            sliced = [(r["least"], r["low"], np.frombuffer(r["slices"], np.uint64).reshape(-1, words)) for r in left[1:]]
-            values = np.array([np.frombuffer(r["exact"], np.int64) for r in left[1:]]).reshape(-1, len(ids))
-            block = Block(values, sliced)
-            for q in right.to_pylist():
-                vector = np.array(q["v"], np.int64)
-                rows = block.top(vector, k, np.flatnonzero((ids == q["id"]) & known))
-                scores = block.score(vector, rows)
-                best = np.lexsort((ids[rows], -scores))[:k]
-                out["number"] += [q["number"]] * len(best)
-                out["query_id"] += [q["id"]] * len(best)
-                out["vec_id"] += [int(ids[i]) if known[i] else None for i in rows[best]]
-                out["score"] += scores[best].tolist()
-        kinds = pa.schema([(n, pa.int64()) for n in out])
-        return pa.table(out, schema=kinds)
-
-    found = sides.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk"))
-    found = found.applyInArrow(run, "number long, query_id long, vec_id long, score long")
+    spark = index.sparkSession
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        for b in batches:
+            for at in range(0, b.num_rows, chunk_queries):
+                part = b.slice(at, chunk_queries)
+                cells = [range(number, number + part.num_rows), part.column(0).to_pylist(), part.column(1).to_pylist()]
+                kinds = [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([pa.array([list(c)], k) for c, k in zip(cells, kinds, strict=True)], ["numbers", "asked", "vectors"])
+                number += part.num_rows
+
+    chunks = queries.select("id", "v").mapInArrow(pack, "numbers array<long>, asked array<long>, vectors array<array<long>>")
+    chunks = materialize(chunks, "query_chunks")
+    n_blocks = index.filter("attribute = -1").agg(F.coalesce(F.max("block"), F.lit(-1))).first()[0] + 1
+    lanes = max(1, min(chunks.count(), -(-partitions(spark) // max(n_blocks, 1))))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(max(n - 1, 0))))
+    sides = index.withColumn("lane", every(lanes))
+    asked = chunks.withColumn("lane", F.pmod(F.xxhash64(F.element_at("numbers", 1)), F.lit(lanes)).cast("int")).withColumn("block", every(n_blocks))
+    columns = ["block", "lane", "attribute", "ids", "least", "low", "slices", "exact", "numbers", "asked", "vectors"]
+    met = sides.unionByName(asked, allowMissingColumns=True).select(*columns).repartition(partitions(spark), "block", "lane")
+    met = met.sortWithinPartitions("block", "lane", F.col("attribute").asc_nulls_last())  # a block's slices, then its chunks
+
+    def answer(block: Block, ids: np.ndarray, known: np.ndarray, row: dict) -> pa.RecordBatch:
+        out: list[list] = [[], [], [], []]
+        for number, own, v in zip(row["numbers"], row["asked"], row["vectors"], strict=True):
+            vector = np.array(v, np.int64)
+            rows = block.top(vector, k, np.flatnonzero((ids == own) & known) if own is not None else np.zeros(0, np.int64))
+            scores = block.score(vector, rows)
+            best = np.lexsort((ids[rows], -scores))[:k]
+            out[0] += [number] * len(best)
+            out[1] += [own] * len(best)
+            out[2] += [int(ids[i]) if known[i] else None for i in rows[best]]
+            out[3] += scores[best].tolist()
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["number", "query_id", "vec_id", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, ids, known, sliced, values, block = None, None, None, [], [], None
+        for b in batches:
+            for row in b.to_pylist():
+                if (row["block"], row["lane"]) != at:
+                    at, ids, sliced, values, block = (row["block"], row["lane"]), None, [], [], None
+                if row["attribute"] == -1:
+                    known = np.array([i is not None for i in row["ids"]])
+                    ids = np.array([np.iinfo(np.int64).max if i is None else i for i in row["ids"]], np.int64)
+                elif row["attribute"] is not None:
+                    sliced.append((row["least"], row["low"], np.frombuffer(row["slices"], np.uint64).reshape(-1, -(-len(ids) // 64))))
+                    values.append(np.frombuffer(row["exact"], np.int64))
+                elif ids is not None:
+                    block = block or Block(np.array(values).reshape(-1, len(ids)), sliced)
+                    yield answer(block, ids, known, row)
+
+    found = met.mapInArrow(run, "number long, query_id long, vec_id long, score long")
     order = Window.partitionBy("number").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
