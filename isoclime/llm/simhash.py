@@ -8,16 +8,16 @@ steps of its own, so that two that are close enough meet in a cell, and cell mat
 all 64 bits.
 
 Only distinct fingerprints are joined, so copies of a text never meet each other. A cell yields a spanning
-forest of its links, never all pairs, and the links go to the component search. A cell with more than
-``hot_cell`` fingerprints is not compared at all: its members are linked through the exact bit strings
-within max_bits / 2 flips of each, which two of them share exactly when they differ in at most max_bits
-bits. That costs 2081 rows a fingerprint, but grows linearly and spreads evenly.
+forest of its links, never all pairs, and the links go to the component search. Where a cell holds more than
+``crowd`` fingerprints the grid gets finer: its members are dealt by the same rule once more, over the two
+quarters that the cell's half leaves out. Fingerprints within ``max_bits`` lie within half of that in one of
+these quarters too, so none that are close enough part; 34 rows a member, and no pairs of blocks.
 
 ``width`` puts several 64-bit fingerprints side by side, for near-duplicates that differ in more bits than
-one can spare: two documents are candidates if any half of any of them is close in the grid, and are linked
-if all bits together differ in at most ``max_bits``. Candidates are then a matter of chance, more likely the
-closer two texts are (measured in the README); what is linked is still verified on all bits, and hot cells
-are compared exactly, block against block in separate tasks.
+one can spare: two documents are candidates if any half of any of them is close in the grid (and, where
+crowded, a quarter of its other half), and are linked if all bits together differ in at most ``max_bits``.
+Candidates are then a matter of chance, more likely the closer two texts are (measured in the README); what is
+linked is still verified on all bits.
 
 ``jaccard_components`` settles near copies by the exact Jaccard similarity of their shingle sets. Wide
 fingerprints and MinHash bands only say who is looked at: two sets of similarity J share none of ``BANDS``
@@ -28,19 +28,17 @@ sets of one component of candidates then meet, and a link is what reaches the th
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, partitions, table
 from .components import components
 
-SHINGLE_WORDS, MAX_BITS, HOT_CELL = 4, 4, 2048
+SHINGLE_WORDS, MAX_BITS, CROWD = 4, 4, 1 << 14
 BANDS, BAND_ROWS, BLOCK_HASHES, FILTER_BITS = 20, 4, 1 << 21, 1 << 26
 SEGMENTS = np.uint64(0x5555555555555555)
 
@@ -132,6 +130,26 @@ def _cells(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(cells), np.concatenate(owners)
 
 
+def _quarters(cells: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(finer cell, row): for each row of a cell, the cells within a step in both quarters of the half its cell leaves out."""
+    rows, half = np.arange(len(fps)), (cells >> np.uint64(32)).astype(np.int64)
+    word = fps[rows, half // 2]
+    counts = (word & SEGMENTS) + ((word >> np.uint64(1)) & SEGMENTS)
+    other = counts >> (32 * (1 - half % 2)).astype(np.uint64)
+    finer, owners = [], []
+    for quarter in range(2):
+        code = (other >> np.uint64(16 * quarter)) & np.uint64(0xFFFF)
+        tag = (cells << np.uint64(17)) | np.uint64(quarter << 16)
+        finer.append(code | tag)
+        owners.append(rows)
+        for s in range(8):
+            unit, field = np.uint64(1 << (2 * s)), (code >> np.uint64(2 * s)) & np.uint64(3)
+            for keep, moved in ((field < 2, code + unit), (field > 0, code - unit)):
+                finer.append((moved | tag)[keep])
+                owners.append(rows[keep])
+    return np.concatenate(finer), np.concatenate(owners)
+
+
 def _forest(fps: np.ndarray, max_bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """A spanning forest of the links inside one cell."""
     out, rest = [], fps
@@ -169,11 +187,11 @@ def _links(cells: np.ndarray, fps: np.ndarray, max_bits: int, small: int = 8) ->
     return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
 
 
-def _packed(a: np.ndarray, b: np.ndarray, hot: np.ndarray, names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*_columns(a), *_columns(b), pa.array(hot)], names)
+def _packed(a: np.ndarray, b: np.ndarray, crowded: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*_columns(a), *_columns(b), pa.array(crowded)], names)
 
 
-def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_cell: int = HOT_CELL, width: int = 1) -> DataFrame:
+def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD, width: int = 1) -> DataFrame:
     """Links between distinct fingerprints (columns fp, fp1, ...): a_fp, a_fp1, ..., b_fp, b_fp1, ...
 
     For ``width`` 1 they connect whatever lies within ``max_bits`` (0, 2 or 4) bits.
@@ -191,102 +209,65 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_cell: int =
                 cell, of = _cells(rows[at : at + (1 << 12)], radius)
                 yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), *_columns(rows[at + of])], ["cell", *own])
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def hot_rows(cells: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
-            return _packed(rows, rows, cells.view(np.int64), [*ends, "hot"])
-
-        def settled(cells: np.ndarray, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-            if not len(cells):
-                return
-            starts = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
-            sizes = np.diff(np.concatenate((starts, [len(cells)])))
-            hot = np.repeat(sizes > hot_cell, sizes)
-            if hot.any():
-                yield hot_rows(cells[hot], rows[hot])
-            if not hot.all():
-                a, b = _links(cells[~hot], rows[~hot], max_bits)
-                yield _packed(a, b, np.full(len(a), -1), [*ends, "hot"])
-
-        cells, rows, over = np.zeros(0, np.uint64), np.zeros((0, width), np.uint64), None  # over: a cell found to be hot
+    def finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cells = np.concatenate((cells, b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)))
-            rows = np.concatenate((rows, _array(b, 1, width)))
-            if over is not None:
-                n = int(np.searchsorted(cells, over, side="right"))
-                yield hot_rows(cells[:n], rows[:n])
-                cells, rows = cells[n:], rows[n:]
-            if not len(cells):
-                continue
-            last = int(np.searchsorted(cells, cells[-1], side="left"))
-            yield from settled(cells[:last], rows[:last])
-            over, cells, rows = None, cells[last:], rows[last:]
-            if len(cells) > hot_cell:
-                yield hot_rows(cells, rows)
-                over, cells, rows = cells[-1], cells[:0], rows[:0]
-        yield from settled(cells, rows)
+            cells, rows = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64), _array(b, 1, width)
+            for at in range(0, len(rows), 1 << 12):
+                cell, of = _quarters(cells[at : at + (1 << 12)], rows[at : at + (1 << 12)])
+                yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), *_columns(rows[at + of])], ["cell", *own])
+
+    def meet(limit: int | None):
+        """Links of the cells of up to ``limit`` members (rows sorted by cell), and the members of the others."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def crowded(cells: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+                return _packed(rows, rows, cells.view(np.int64), [*ends, "crowded"])
+
+            def settled(cells: np.ndarray, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+                if not len(cells):
+                    return
+                starts = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
+                sizes = np.diff(np.concatenate((starts, [len(cells)])))
+                many = np.repeat(sizes > (limit or len(cells)), sizes)
+                if many.any():
+                    yield crowded(cells[many], rows[many])
+                if not many.all():
+                    a, b = _links(cells[~many], rows[~many], max_bits)
+                    yield _packed(a, b, np.full(len(a), -1), [*ends, "crowded"])
+
+            cells, rows, over = np.zeros(0, np.uint64), np.zeros((0, width), np.uint64), None  # over: a cell found to be crowded
+            for b in batches:
+                cells = np.concatenate((cells, b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)))
+                rows = np.concatenate((rows, _array(b, 1, width)))
+                if over is not None:
+                    n = int(np.count_nonzero(cells == over))
+                    if n:
+                        yield crowded(cells[:n], rows[:n])
+                    cells, rows = cells[n:], rows[n:]
+                if not len(cells):
+                    continue
+                last = int(np.argmax(cells == cells[-1]))
+                yield from settled(cells[:last], rows[:last])
+                over, cells, rows = None, cells[last:], rows[last:]
+                if limit and len(cells) > limit:
+                    yield crowded(cells, rows)
+                    over, cells, rows = cells[-1], cells[:0], rows[:0]
+            yield from settled(cells, rows)
+
+        return run
+
+    def settle(cells: DataFrame, limit: int | None) -> DataFrame:
+        cells = cells.repartition(partitions(spark), "cell").sortWithinPartitions("cell")
+        return cells.mapInArrow(meet(limit), f"{longs([*ends, 'crowded'])}").distinct()
 
     cells = fps.select(*own).mapInArrow(spread, f"cell long, {longs(own)}")
-    cells = cells.repartition(partitions(spark), "cell").sortWithinPartitions("cell")
-    met = materialize(cells.mapInArrow(meet, f"{longs([*ends, 'hot'])}").distinct(), "cell_links")
-    links, hot = met.filter("hot < 0").select(*ends), met.filter("hot >= 0")
-    if hot.isEmpty():
+    met = materialize(settle(cells, crowd), "cell_links")
+    links, many = met.filter("crowded < 0").select(*ends), met.filter("crowded >= 0")
+    if many.isEmpty():
         return links
-    members = hot.select(F.col("hot").alias("cell"), *(F.col(f"a_{n}").alias(n) for n in own))
-    more = _flipped(members, max_bits) if width == 1 else _blockwise(members, max_bits, hot_cell, width)
-    return links.unionByName(more.select(*ends).distinct())
-
-
-def _flipped(members: DataFrame, max_bits: int) -> DataFrame:
-    """Links of hot cells' members through the bit strings within max_bits / 2 flips of each."""
-
-    def flips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        masks = [sum(1 << i for i in c) for r in range(max_bits // 2 + 1) for c in combinations(range(64), r)]
-        masks = np.array(masks, np.uint64)
-        for b in batches:
-            own = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for at in range(0, len(own), 64):
-                part = own[at : at + 64]
-                key = (part[:, None] ^ masks[None, :]).ravel()
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.repeat(part, len(masks)).view(np.int64))], ["spot", "a_fp"])
-
-    own = members.select("fp").distinct().repartition(partitions(members.sparkSession), "fp")
-    spots = own.mapInArrow(flips, "spot long, a_fp long")
-    least = materialize(spots.groupBy("spot").agg(F.min("a_fp").alias("b_fp"), F.count("*").alias("n")).filter("n > 1").drop("n"), "spots")
-    return spots.join(least, "spot").select("a_fp", "b_fp").filter("a_fp <> b_fp")
-
-
-def _blockwise(members: DataFrame, max_bits: int, block: int, width: int) -> DataFrame:
-    """Links of hot cells' members: blocks of a cell meet pairwise, one pair of blocks a row, each giving a spanning forest."""
-    own, n = names_of(width), partitions(members.sparkSession)
-    ends = [f"{side}_{x}" for side in "ab" for x in own]
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, base = 0, TaskContext.get().partitionId() << 33
-        for b in batches:
-            cells, rows = b.column(0).to_numpy(zero_copy_only=False), _array(b, 1, width)
-            for part in np.split(np.arange(len(cells)), np.flatnonzero(cells[1:] != cells[:-1]) + 1):
-                for at in range(0, len(part), block):
-                    some = part[at : at + block]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([int(cells[some[0]])]), pa.array([base + number]), pa.array([rows[some].tobytes()])], ["cell", "block", "rows"]
-                    )
-                    number += 1
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                x, y = (np.frombuffer(v, np.uint64).reshape(-1, width) for v in (x, y))
-                found = _forest(x if x.tobytes() == y.tobytes() else np.concatenate((x, y)), max_bits)
-                if found:
-                    a, c = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-                    yield pa.RecordBatch.from_arrays([*_columns(a), *_columns(c)], ends)
-
-    order = ["cell", *own]
-    blocks = members.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(pack, "cell long, block long, rows binary")
-    blocks = materialize(blocks, "hot_blocks")
-    other = blocks.select("cell", F.col("block").alias("block2"), F.col("rows").alias("rows2"))
-    pairs = blocks.join(other, "cell").filter("block <= block2").select("rows", "rows2").repartition(n)
-    return pairs.mapInArrow(compare, ", ".join(f"{x} long" for x in ends))
+    members = many.select(F.col("crowded").alias("cell"), *(F.col(f"a_{n}").alias(n) for n in own))
+    members = members.repartition(partitions(spark), *own)  # a crowded cell's members leave its task
+    return links.unionByName(settle(members.mapInArrow(finer, f"cell long, {longs(own)}"), None).select(*ends))
 
 
 def simhash_components(
@@ -295,7 +276,7 @@ def simhash_components(
     key: str = "doc_id",
     words_per_shingle: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
-    hot_cell: int = HOT_CELL,
+    crowd: int = CROWD,
     width: int = 1,
 ) -> DataFrame:
     """One row per input row: ``key``, fingerprint (16 hex digits for each 64 bits), component_id (least key reachable).
@@ -307,7 +288,7 @@ def simhash_components(
     names = names_of(width)
     own = materialize(fingerprints(docs, text, key, words_per_shingle, width), "fingerprints")
     per_fp = own.groupBy(*names).agg(F.min("key").alias("least"))
-    links = fingerprint_links(per_fp, max_bits, hot_cell, width)
+    links = fingerprint_links(per_fp, max_bits, crowd, width)
     ends = [F.col(f"{side}_fp") if width == 1 else F.struct(*(F.col(f"{side}_{n}").alias(n) for n in names)) for side in "ab"]
     node = F.col("fp") if width == 1 else F.struct(*names)
     roots = components(links.select(ends[0].alias("a"), ends[1].alias("b")))
@@ -370,14 +351,14 @@ def _star(members: DataFrame, group: str, label: str) -> DataFrame:
     return members.join(materialize(least, label), group).select(F.col("node").alias("a"), "b").filter("a <> b")
 
 
-def _candidates(own: DataFrame, max_bits: int, hot_cell: int, width: int) -> DataFrame:
+def _candidates(own: DataFrame, max_bits: int, crowd: int, width: int) -> DataFrame:
     """(a, b): links between nodes that connect whatever shares a band or is linked by fingerprints."""
     names = names_of(width)
     bands = own.select("node", F.explode("bands").alias("band"))
     fp = lambda side: F.struct(*(F.col(f"{side}{n}").alias(n) for n in names))
     members = own.select("node", fp("").alias("fps"))
     per_fp = materialize(members.groupBy("fps").agg(F.min("node").alias("node")), "fingerprint_nodes")
-    links = fingerprint_links(per_fp.select("fps.*"), max_bits, hot_cell, width)
+    links = fingerprint_links(per_fp.select("fps.*"), max_bits, crowd, width)
     links = links.select(fp("a_").alias("x"), fp("b_").alias("y")).filter("x <> y")
     for end, name in (("x", "a"), ("y", "b")):
         links = links.join(per_fp.select(F.col("fps").alias(end), F.col("node").alias(name)), end)
@@ -392,7 +373,7 @@ def jaccard_components(
     threshold: float = 0.8,
     max_bits: int = MAX_BITS,
     width: int = 1,
-    hot_cell: int = HOT_CELL,
+    crowd: int = CROWD,
     block: int = BLOCK_HASHES,
 ) -> DataFrame:
     """One row per input row: ``key``, component_id (least key reachable by links of Jaccard ``threshold`` or more).
@@ -423,7 +404,7 @@ def jaccard_components(
     rows = materialize(src.mapInArrow(describe, f"key {kind}, node binary, size long, bands array<long>, {longs}"), "shingle_sets")
     own = rows.groupBy("node").agg(F.min("key").alias("least"), *(F.first(c).alias(c) for c in ("size", "bands", *names)))
     own = materialize(own, "nodes")
-    roots = components(_candidates(own, max_bits, hot_cell, width))
+    roots = components(_candidates(own, max_bits, crowd, width))
     chosen = materialize(own.select("node", "least", "size").join(roots, "node"), "candidates")
 
     spot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))

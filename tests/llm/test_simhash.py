@@ -55,7 +55,7 @@ def test_links_connect_what_brute_force_connects(spark):
     fps = {i: f for i, f in enumerate(dict.fromkeys(fps))}
     rows = [(int(np.uint64(f).astype(np.int64)),) for f in fps.values()]
     want = brute_components(fps)
-    for hot in (2048, 3):  # the second sends every larger cell down the path for hot cells
+    for hot in (2048, 3):  # the second deals every larger cell over finer ones
         links = simhash.fingerprint_links(spark.createDataFrame(rows, "fp long"), 4, hot).collect()
         for a, b in ((r.a_fp, r.b_fp) for r in links):
             assert bin((a ^ b) & (2**64 - 1)).count("1") <= 4
@@ -69,7 +69,7 @@ def test_links_connect_what_brute_force_connects(spark):
         )
 
 
-def test_wide_links_are_verified_and_hot_cells_complete(spark):
+def test_wide_links_are_verified_and_crowded_cells_complete(spark):
     rng = random.Random(8)
     groups = []
     for size in (1, 1, 2, 40, 60):
