@@ -2,10 +2,11 @@
 
 Texts become hashed byte n-gram profiles (square roots of counts, unit length) of their letters. Linear
 support vector machines are trained one against one, first between families (a language without a known
-relative is a family of its own), then between the languages of each family. They are fitted on the driver on
-a bounded sample of labelled rows (``per_language`` rows a language on average, one and a half times that at
-most in total, ``max_languages`` languages at most, the most frequent); prediction reads every whole text in one pass,
-without a shuffle.
+relative is a family of its own), then between the languages of each family. Every language among the labelled
+rows is learned. The sample is bounded (``per_language`` rows a language on average, one and a half times that
+at most in total) and each pair is trained in a Spark task of its own; the model is one row of weights a pair,
+so its size depends on the number of languages alone. Prediction reads every whole text in one pass, without a
+shuffle.
 """
 
 from __future__ import annotations
@@ -20,9 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import table
+from .common import materialize, partitions, table
 
-PER_LANGUAGE, MAX_LANGUAGES = 300, 100
+PER_LANGUAGE = 300
 ORDERS = ((1, 8), (2, 12), (3, 13))  # n-gram length, bits of its part of the profile
 WIDTH = sum(1 << bits for _, bits in ORDERS)
 #: The families of common language codes.
@@ -101,15 +102,15 @@ class LanguageModel:
         return out
 
 
-def sample(labelled: DataFrame, text: str, lang: str, key: str, per_language: int, max_languages: int) -> tuple[list[str], np.ndarray]:
-    """Languages and profiles of the bounded sample, chosen by a hash of key and text."""
+def sample(labelled: DataFrame, text: str, lang: str, key: str, per_language: int) -> tuple[list[str], DataFrame | None]:
+    """The languages, and (lang, spot, at, x): sparse profiles of the bounded sample, chosen by a hash of key and text."""
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    counts = rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(max_languages).collect()
+    counts = rows.groupBy(F.col(lang).alias("lang")).count().collect()  # one row a language
     if not counts:
-        return [], np.zeros((0, WIDTH), np.float32)
-    rate = F.create_map(*(F.lit(v) for r in counts for v in (r[0], min(1.0, per_language / r[1]))))
+        return [], None
+    limits = F.create_map(*(F.lit(v) for r in counts for v in (r["lang"], int(min(1.0, per_language / r["count"]) * (1 << 62)))))
     spot = F.xxhash64(F.lit("sample"), F.col(key), F.length(text))
-    rows = rows.filter(F.pmod(spot, F.lit(1 << 20)) < F.try_element_at(rate, F.col(lang)) * (1 << 20))
+    rows = rows.filter(F.shiftrightunsigned(spot, 2) <= F.try_element_at(limits, F.col(lang)))
     rows = rows.select(spot.alias("spot"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.orderBy("spot", "lang").limit(int(1.5 * per_language) * len(counts))
 
@@ -118,15 +119,22 @@ def sample(labelled: DataFrame, text: str, lang: str, key: str, per_language: in
             xs = [profile(t) for t in b.column(2).to_pylist()]
             at = [np.flatnonzero(x) for x in xs]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(at, pa.list_(pa.int32())), pa.array([x[i] for x, i in zip(xs, at, strict=True)], pa.list_(pa.float32()))],
-                ["spot", "lang", "at", "x"],
+                [b.column(1), b.column(0), pa.array(at, pa.list_(pa.int32())), pa.array([x[i] for x, i in zip(xs, at, strict=True)], pa.list_(pa.float32()))],
+                ["lang", "spot", "at", "x"],
             )
 
-    got = sorted(rows.mapInArrow(sparse, "spot long, lang string, at array<int>, x array<float>").collect(), key=lambda r: (r.spot, r.lang, r.at))
-    xs = np.zeros((len(got), WIDTH), np.float32)
-    for i, r in enumerate(got):
-        xs[i, r.at] = r.x
-    return [r.lang for r in got], xs
+    got = materialize(rows.mapInArrow(sparse, "lang string, spot long, at array<int>, x array<float>"), "language_sample")
+    return sorted(r["lang"] for r in got.select("lang").distinct().collect()), got
+
+
+def train_pair(rows: pa.Table) -> pa.Table:
+    """Weights of one pair from its sample (lang, spot, at, x, pair, sign)."""
+    rows = sorted(rows.to_pylist(), key=lambda r: (r["spot"], r["lang"], r["at"], r["x"]))
+    x = np.zeros((len(rows), WIDTH), np.float32)
+    for i, r in enumerate(rows):
+        x[i, r["at"]] = r["x"]
+    w = fit_svm(x, np.array([r["sign"] for r in rows]))
+    return pa.table({"pair": pa.array([rows[0]["pair"]], pa.int64()), "w": pa.array([w.tobytes()], pa.binary())})
 
 
 def fit(
@@ -135,23 +143,24 @@ def fit(
     lang: str = "lang",
     key: str = "doc_id",
     per_language: int = PER_LANGUAGE,
-    max_languages: int = MAX_LANGUAGES,
 ) -> LanguageModel:
     """Train on the rows of ``labelled`` whose language isn't null and whose text has a letter; none: a model that says und."""
-    langs, xs = sample(labelled, text, lang, key, per_language, max_languages)
+    langs, rows = sample(labelled, text, lang, key, per_language)
     families: dict[str, list[str]] = {}
-    for one in sorted(set(langs)):
+    for one in langs:
         families.setdefault(FAMILIES.get(one, one), []).append(one)
-    of = {one: f for f, own in families.items() for one in own}
-    family, lang_of = np.array([of[x] for x in langs]), np.array(langs)
-    pairs, weights = [], []
-    for labels, groups, prefix in ((family, [list(families)], "family "), (lang_of, list(families.values()), "")):
-        for names in groups:
-            for a, b in combinations(names, 2):
-                own = (labels == a) | (labels == b)
-                pairs.append((prefix + a, prefix + b))
-                weights.append(fit_svm(xs[own], np.where(labels[own] == a, 1, -1)))
-    return LanguageModel(families, pairs, np.stack(weights) if weights else np.zeros((0, WIDTH), np.float32))
+    pairs, sides = [], []  # sides: (language, number of a pair, sign)
+    for names, prefix in [(list(families), "family "), *((own, "") for own in families.values())]:
+        for ends in combinations(names, 2):
+            for name, sign in zip(ends, (1, -1), strict=True):
+                sides += [(one, len(pairs), sign) for one in (families[name] if prefix else [name])]
+            pairs.append((prefix + ends[0], prefix + ends[1]))
+    if not pairs:
+        return LanguageModel(families, [], np.zeros((0, WIDTH), np.float32))
+    deal = labelled.sparkSession.createDataFrame(sides, "lang string, pair long, sign int")
+    dealt = rows.join(F.broadcast(deal), "lang").repartition(partitions(labelled.sparkSession), "pair")
+    got = dealt.groupBy("pair").applyInArrow(train_pair, "pair long, w binary").collect()  # one row of weights a pair
+    return LanguageModel(families, pairs, np.stack([np.frombuffer(r["w"], np.float32) for r in sorted(got, key=lambda r: r["pair"])]))
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
@@ -160,7 +169,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     Columns of these names in ``docs`` are replaced. Empty input gives an empty result.
     """
     held = docs.drop("lang_pred", "score")
-    shared = held.sparkSession.sparkContext.broadcast(model)  # its size is bounded by max_languages
+    shared = held.sparkSession.sparkContext.broadcast(model)  # one row of weights a pair of families or of languages in a family
     names, at = [*held.columns, "lang_pred", "score"], held.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

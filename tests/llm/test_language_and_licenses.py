@@ -1,3 +1,5 @@
+import zlib
+
 from isoclime.llm import language, licenses
 from isoclime.llm.common import table
 
@@ -49,3 +51,14 @@ def test_licence_query_agrees_with_plain_search(spark, sf_dir):
     texts = {r.doc_id: r.text for r in table(spark, sf_dir, "documents").collect()}
     got = {r.doc_id: r.families for r in licenses.op7_license_scan(spark, sf_dir).collect()}
     assert got == {d: sorted(f for f, line in lines.items() if line in (t or "")) for d, t in texts.items()}
+
+
+def test_held_out_rows_and_a_rare_language(spark, sf_dir):
+    for r in language.op5_language_id(spark, sf_dir).select("doc_id", "held_out").collect():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+    words = {f"x{i:03d}": [f"{chr(97 + i % 26)}{chr(97 + i // 26)}{w}" for w in ("ra", "to", "mi", "ne")] for i in range(14)}
+    rows = [(i * 10 + k, " ".join(own), code) for i, (code, own) in enumerate(words.items()) for k in range(3 if i else 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df)
+    assert sorted(n for own in model.families.values() for n in own) == sorted(words)  # the rarest too
+    assert [r.lang_pred for r in language.identify(df.filter("lang = 'x000'"), model).collect()] == ["x000"]
