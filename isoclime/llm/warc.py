@@ -99,7 +99,8 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
     digest = F.when(F.octet_length("html") >= min_bytes, F.sha2("html", 256))
     firsts = rows.select(digest.alias("_d"), "page_id").filter("_d IS NOT NULL").groupBy("_d")
     firsts = materialize(firsts.agg(F.min("page_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n"), "first_pages")
-    joined = rows.withColumn("_d", digest).join(firsts, "_d", "left")
+    alone = F.concat_ws(":", F.lit("short"), F.xxhash64("page_id", "url"))  # meets no digest, so short payloads spread instead of sharing a null
+    joined = rows.withColumn("_d", F.coalesce(digest, alone)).join(firsts, "_d", "left")
     return joined.select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("_first")), F.col("_first")).alias("refers_to"))
 
 
