@@ -11,6 +11,7 @@ shuffle.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -103,7 +104,7 @@ class LanguageModel:
 
 
 def sample(labelled: DataFrame, text: str, lang: str, key: str, per_language: int) -> tuple[list[str], DataFrame | None]:
-    """The languages, and (lang, spot, at, x): sparse profiles of the bounded sample, chosen by a hash of key and text."""
+    """The languages, and (lang, spot, crc, at, x): sparse profiles of the bounded sample, chosen by a hash of key and text."""
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     counts = rows.groupBy(F.col(lang).alias("lang")).count().collect()  # one row a language
     if not counts:
@@ -119,22 +120,22 @@ def sample(labelled: DataFrame, text: str, lang: str, key: str, per_language: in
             xs = [profile(t) for t in b.column(2).to_pylist()]
             at = [np.flatnonzero(x) for x in xs]
             yield pa.RecordBatch.from_arrays(
-                [b.column(1), b.column(0), pa.array(at, pa.list_(pa.int32())), pa.array([x[i] for x, i in zip(xs, at, strict=True)], pa.list_(pa.float32()))],
-                ["lang", "spot", "at", "x"],
+                [b.column(1), b.column(0), pa.array([zlib.crc32(x) for x in xs], pa.int64()), pa.array(at, pa.list_(pa.int32())), pa.array([x[i] for x, i in zip(xs, at, strict=True)], pa.list_(pa.float32()))],
+                ["lang", "spot", "crc", "at", "x"],
             )
 
-    got = materialize(rows.mapInArrow(sparse, "lang string, spot long, at array<int>, x array<float>"), "language_sample")
+    got = materialize(rows.mapInArrow(sparse, "lang string, spot long, crc long, at array<int>, x array<float>"), "language_sample")
     return sorted(r["lang"] for r in got.select("lang").distinct().collect()), got
 
 
 def train_pair(rows: pa.Table) -> pa.Table:
-    """Weights of one pair from its sample (lang, spot, at, x, pair, sign)."""
-    rows = sorted(rows.to_pylist(), key=lambda r: (r["spot"], r["lang"], r["at"], r["x"]))
-    x = np.zeros((len(rows), WIDTH), np.float32)
-    for i, r in enumerate(rows):
-        x[i, r["at"]] = r["x"]
-    w = fit_svm(x, np.array([r["sign"] for r in rows]))
-    return pa.table({"pair": pa.array([rows[0]["pair"]], pa.int64()), "w": pa.array([w.tobytes()], pa.binary())})
+    """Weights of one pair from its sample (lang, spot, crc, at, x, pair, sign)."""
+    rows = rows.sort_by([("spot", "ascending"), ("lang", "ascending"), ("crc", "ascending")]).combine_chunks()
+    at, own = (rows.column(c).chunk(0) for c in ("at", "x"))
+    x = np.zeros((rows.num_rows, WIDTH), np.float32)
+    x[np.repeat(np.arange(rows.num_rows), at.value_lengths().to_numpy()), at.flatten().to_numpy()] = own.flatten().to_numpy()
+    w = fit_svm(x, rows.column("sign").to_numpy())
+    return pa.table({"pair": pa.array([rows.column("pair")[0].as_py()], pa.int64()), "w": pa.array([w.tobytes()], pa.binary())})
 
 
 def fit(

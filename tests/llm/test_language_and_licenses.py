@@ -33,17 +33,65 @@ def test_no_labels_and_a_lone_language(spark):
     assert {(r.lang_pred, r.score) for r in language.identify(df, language.fit(one)).collect()} == {("xx", 1.0)}
 
 
-def test_licence_lines_are_found_and_prose_is_not(spark, sf_dir):
+MIT_TEXT = """Copyright (c) 2021 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software.
+"""
+BSD_TEXT = """/*
+ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:
+ *
+ * 1. Redistributions of source code must retain the above copyright
+ *    notice, this list of conditions and the following disclaimer.
+ */
+"""
+APACHE_TEXT = """# Unless required by applicable law or agreed to in writing,
+# software distributed under the License is distributed on an
+# "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND.
+"""
+
+
+def test_licences_are_found_and_prose_is_not(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = licenses.fit(docs)
-    notices = {"MIT": "Released under the MIT License.", "CC-BY-NC": "Licensed under CC BY-NC 4.0.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.", "BSD": licenses.TEMPLATES["BSD"][5]}
-    rows = [(i, f"Some prose first.\n\n{t}\nthe end of it", "x") for i, t in enumerate(notices.values())]
-    rows += [(10, "Licensed under the rules of the house.", None), (11, None, None), (12, "", None), (13, "word " * 30000, None), (None, notices["MIT"] + "\n" + notices["Apache-2.0"], None)]
+    prose = max((r.text for r in docs.filter("lang = 'en'").select("text").collect() if r.text), key=len).replace("\n", " ").split()[:3000]
+    amid = lambda line: " ".join([*prose[:1500], line, *prose[1500:]])
+    wanted = [
+        ("Released under the MIT License.", {"MIT"}), ("Licensed under CC BY-NC 4.0.", {"CC-BY-NC"}),
+        ("Licensed under the Apache License, Version 2.0.", {"Apache-2.0"}), (licenses.TEMPLATES["BSD"][5], {"BSD"}),
+        (MIT_TEXT, {"MIT"}), (BSD_TEXT, {"BSD"}), (APACHE_TEXT, {"Apache-2.0"}), ("// SPDX-License-Identifier: MIT", {"MIT"}),
+        ("License: MIT", {"MIT"}), ("# SPDX-License-Identifier: ISC", {"ISC"}), ("SPDX-License-Identifier: Unlicense", {"Unlicense"}),
+        ("Dual licensed under the MIT License or the Apache License, Version 2.0, as you like.", {"MIT", "Apache-2.0"}),
+        (amid("This work is licensed under CC BY-NC 4.0."), {"CC-BY-NC"}), (amid("Released under the MIT License."), {"MIT"}),
+        (amid(MIT_TEXT.replace("\n", " ")), {"MIT"}),
+        ("Licensed under the Sleepycat License.", set()), ("Released under the PostgreSQL License, version 2.", set()),
+        ("Licensed under the rules of the house.", set()), ("The license was granted by the city.", set()), (" ".join(prose), set()), ("word " * 30000, set()),
+    ]
+    rows = [(i, t, None) for i, (t, _) in enumerate(wanted)]
+    rows += [(100, None, None), (101, "", None), (102, " -- \n\n * ", None), (None, "Prose\nfirst.\n\nReleased under the\nMIT License.\n\n\nLicense: ISC", "x")]
     got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, findings string"), model).collect()}
-    for i, family in enumerate(notices):
-        assert [(f.paragraph, f.family) for f in got[i].findings] == [(2, family)] and got[i].n_paragraphs == 4
-    assert [f.family for f in got[None].findings] == ["MIT", "Apache-2.0"]
-    assert all(got[d].findings == [] for d in (10, 11, 12, 13)) and got[11].n_paragraphs == got[12].n_paragraphs == 0
+    for i, (text, families) in enumerate(wanted):
+        assert {f.family for f in got[i].findings} == families, text[:80]
+        assert all(0.5 <= f.score <= 1 and f.containment >= 0.8 for f in got[i].findings)
+    assert [(f.paragraph, f.family) for f in got[None].findings] == [(1, "MIT"), (2, "ISC")] and got[None].n_paragraphs == 3
+    assert all(got[d].n_paragraphs == 0 and got[d].findings == [] for d in (100, 101, 102))
+
+
+def test_windows_cover_every_word(spark):
+    texts = ["", "one", " ".join(f"w{i}" for i in range(100)), "a b\n\nc\n \t-\nd", " ".join(f"v{i}" for i in range(25)) + "\nlast"]
+    words = licenses.words_of(texts)
+    seen = [words.window(i).split() for i in range(len(words.windows))]
+    assert {w for own in seen for w in own if w != "-"} == {w for t in texts for w in t.split() if w != "-"}
+    assert words.text.tolist() == [1, 2, 3, 3, 3, 4] and max(map(len, seen)) <= licenses.SIZES[-1] * licenses.PIECE
+    long, most = texts[2].split(), (licenses.SIZES[-1] - 1) * licenses.PIECE
+    for i in range(len(long) - most + 1):
+        assert any(long[i : i + most] == own[k : k + most] for own in seen for k in range(len(own)))
+    assert max(len(licenses._tokens(p)) for own in licenses.PHRASES.values() for p in own) <= most
 
 
 def test_licence_query_agrees_with_plain_search(spark, sf_dir):
