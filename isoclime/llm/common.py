@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or (single-machine tests) a fresh one.
-
-    The setting is only filled in where the session has none, so a cluster's own choice stands.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", "")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
-    return sc.getCheckpointDir()
-
-
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other call gets."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path below the folder all executors share that no other call gets; ``session.release`` deletes it."""
+    return scratch(spark, name)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -164,14 +164,14 @@ def fit(
     return LanguageModel(families, pairs, np.stack([np.frombuffer(r["w"], np.float32) for r in sorted(got, key=lambda r: r["pair"])]))
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` plus lang_pred and score (0 to 1); null texts and texts without a letter are und, 0.
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """All columns of ``docs`` plus ``lang_pred`` and ``score`` (0 to 1); null texts and texts without a letter are und, 0.
 
-    Columns of these names in ``docs`` are replaced. Empty input gives an empty result.
+    Columns of these two names in ``docs`` are replaced; name others to keep them. Empty input gives an empty result.
     """
-    held = docs.drop("lang_pred", "score")
+    held = docs.drop(lang_pred, score)
     shared = held.sparkSession.sparkContext.broadcast(model)  # one row of weights a pair of families or of languages in a family
-    names, at = [*held.columns, "lang_pred", "score"], held.columns.index(text)
+    names, at = [*held.columns, lang_pred, score], held.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -179,7 +179,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
             extra = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
             yield pa.RecordBatch.from_arrays([*b.columns, *extra], names)
 
-    schema = StructType(list(held.schema.fields)).add("lang_pred", "string").add("score", "double")
+    schema = StructType(list(held.schema.fields)).add(lang_pred, "string").add(score, "double")
     return held.mapInArrow(run, schema)
 
 

@@ -19,7 +19,6 @@ SHA-256 for equal texts.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -29,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_table
 from .common import materialize, partitions, table
 from .suffix_array import permuted_lcp, suffix_array
 
@@ -252,7 +252,7 @@ def _dealt(large: DataFrame, length: int, chunk_bytes: int, bucket_windows: int)
 
 def _table(df: DataFrame, name: str, key: str) -> DataFrame:
     """A table bucketed by ``key`` in the warehouse, so that joins on it leave its rows where they are."""
-    spark, name = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    spark, name = df.sparkSession, scratch_table(name)
     n = partitions(spark)
     df.repartition(n, key).write.option("compression", "zstd").bucketBy(n, key).saveAsTable(name)
     return spark.table(name)
