@@ -39,7 +39,7 @@ from .common import materialize, partitions, table
 from .components import components
 
 SHINGLE_WORDS, MAX_BITS, CROWD = 4, 4, 1 << 14
-BANDS, BAND_ROWS, BLOCK_HASHES, FILTER_BITS = 20, 4, 1 << 21, 1 << 26
+BANDS, BAND_ROWS, BLOCK_HASHES, FILTER_BITS = 20, 4, 1 << 19, 1 << 26
 SEGMENTS = np.uint64(0x5555555555555555)
 
 
