@@ -8,9 +8,9 @@ downward. What quantisation dropped is bounded, so every row that could still be
 a known distance of the k-th quantised sum; those boundary rows are scored exactly.
 
 Blocks hold up to ``block_rows`` vectors and stay whole: the queries, a small share of the rows, come to every
-block in chunks of up to ``chunk_queries`` and stream past it, and what leaves is k rows a query and block. Where
-there are fewer blocks than tasks, a block is copied into lanes that share the chunks; copies never exceed the
-number of tasks. A task holds one block and one chunk at a time. Nothing is broadcast.
+block in chunks of up to ``chunk_queries`` and stream past it, and what leaves is k rows a query and block. Tables
+too small to give every task such a block are cut into smaller ones, down to ``LEAST_ROWS``. A task holds one
+block and one chunk at a time. Nothing is broadcast.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import materialize, partitions, table
 
 K, SCALE, EVERY = 10, 1024, 100
-BLOCK_ROWS, CHUNK_QUERIES, PRECISION = 1 << 16, 32, 7
+BLOCK_ROWS, LEAST_ROWS, CHUNK_QUERIES, PRECISION = 1 << 16, 1 << 13, 32, 7
 
 
 def quantised(embedding: Column, scale: int = SCALE) -> Column:
@@ -160,10 +160,11 @@ class Block:
         return query[:n] @ self.values[:n, rows]
 
 
-def build_index(vectors: DataFrame, block_rows: int = BLOCK_ROWS, precision: int = PRECISION) -> DataFrame:
+def build_index(vectors: DataFrame, block_rows: int | None = None, precision: int = PRECISION) -> DataFrame:
     """(block, attribute, ids, least, low, slices, exact) from (id long, v array<long>); attribute -1 has the ids."""
     n = vectors.count()
-    blocks = max(1, -(-n // block_rows))
+    even = min(BLOCK_ROWS, max(LEAST_ROWS, n // partitions(vectors.sparkSession)))  # a block a task, within bounds
+    blocks = max(1, -(-n // (block_rows or even)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, parts = [], []
@@ -216,13 +217,10 @@ def search(index: DataFrame, queries: DataFrame, k: int = K, chunk_queries: int
     chunks = queries.select("id", "v").mapInArrow(pack, "numbers array<long>, asked array<long>, vectors array<array<long>>")
     chunks = materialize(chunks, "query_chunks")
     n_blocks = index.filter("attribute = -1").agg(F.coalesce(F.max("block"), F.lit(-1))).first()[0] + 1
-    lanes = max(1, min(chunks.count(), -(-partitions(spark) // max(n_blocks, 1))))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(max(n - 1, 0))))
-    sides = index.withColumn("lane", every(lanes))
-    asked = chunks.withColumn("lane", F.pmod(F.xxhash64(F.element_at("numbers", 1)), F.lit(lanes)).cast("int")).withColumn("block", every(n_blocks))
-    columns = ["block", "lane", "attribute", "ids", "least", "low", "slices", "exact", "numbers", "asked", "vectors"]
-    met = sides.unionByName(asked, allowMissingColumns=True).select(*columns).repartition(partitions(spark), "block", "lane")
-    met = met.sortWithinPartitions("block", "lane", F.col("attribute").asc_nulls_last())  # a block's slices, then its chunks
+    asked = chunks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(n_blocks - 1, 0)))))
+    columns = ["block", "attribute", "ids", "least", "low", "slices", "exact", "numbers", "asked", "vectors"]
+    met = index.unionByName(asked, allowMissingColumns=True).select(*columns).repartition(partitions(spark), "block")
+    met = met.sortWithinPartitions("block", F.col("attribute").asc_nulls_last())  # a block's slices, then its chunks
 
     def answer(block: Block, ids: np.ndarray, known: np.ndarray, row: dict) -> pa.RecordBatch:
         out: list[list] = [[], [], [], []]
@@ -241,8 +239,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = K, chunk_queries: int
         at, ids, known, sliced, values, block = None, None, None, [], [], None
         for b in batches:
             for row in b.to_pylist():
-                if (row["block"], row["lane"]) != at:
-                    at, ids, sliced, values, block = (row["block"], row["lane"]), None, [], [], None
+                if row["block"] != at:
+                    at, ids, sliced, values, block = row["block"], None, [], [], None
                 if row["attribute"] == -1:
                     known = np.array([i is not None for i in row["ids"]])
                     ids = np.array([np.iinfo(np.int64).max if i is None else i for i in row["ids"]], np.int64)
