@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,11 +33,12 @@ def check_accepted(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 def check_expectations(df: DataFrame, spec: Sequence[dict]) -> DataFrame:
     """(expectation, failing, ok) in one pass of conditional aggregates.
 
-    Kinds: range (column, low, high), regex (column, pattern), not_null (column): failing rows; rows (low,
-    high) and mean (column, low, high): 0 or 1.
+    Kinds: range (column, low, high), regex (column, pattern), not_null (column), monotone (column, by, order: rows
+    below the one before them in their group): failing rows; rows (low, high) and mean (column, low, high): 0 or 1.
+    Only monotone needs an order, taken group by group.
     """
     cells = []
-    for e in spec:
+    for i, e in enumerate(spec):
         kind, c = e["kind"], e.get("column")
         name = f"{kind}({c})" if c else kind
         if kind == "range":
@@ -46,6 +47,10 @@ def check_expectations(df: DataFrame, spec: Sequence[dict]) -> DataFrame:
             failing = F.count_if(~F.col(c).rlike(e["pattern"]))
         elif kind == "not_null":
             failing = F.count_if(F.col(c).isNull())
+        elif kind == "monotone":
+            before = F.lag(c).over(Window.partitionBy(*e["by"]).orderBy(*e["order"]))
+            df = df.withColumn(f"_falls{i}", F.col(c) < before)
+            failing = F.count_if(f"_falls{i}")
         elif kind == "rows":
             failing = F.when(F.count(F.lit(1)).between(e["low"], e["high"]), 0).otherwise(1)
         elif kind == "mean":

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoclime.functions.calendar import day_slot, shift_slot
+from isoclime.operators.running import running
 
 THRESHOLD, HALF, MIN_N = 2.5, 7, 2
 
@@ -126,9 +127,11 @@ def flag_anomalies(z: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return z.withColumn("is_anomaly", beyond).withColumn("direction", direction).withColumn("magnitude", F.abs("z"))
 
 
-def anomalies(obs: DataFrame, value: str = "temp_mean", half: int = HALF, pooling: str = "smoothed", threshold: float = THRESHOLD) -> DataFrame:
-    """The whole chain: own-year-out normals, z, flags."""
-    return flag_anomalies(zscore(obs, loyo_normals(obs, value, half, pooling), value), threshold)
+def anomalies(
+    obs: DataFrame, value: str = "temp_mean", half: int = HALF, pooling: str = "smoothed", threshold: float = THRESHOLD, reference_years: Sequence[int] | None = None
+) -> DataFrame:
+    """The whole chain: own-year-out normals (of ``reference_years`` only, if given), z, flags."""
+    return flag_anomalies(zscore(obs, loyo_normals(obs, value, half, pooling, reference_years), value), threshold)
 
 
 def guarded_zscore(obs: DataFrame, value: str = "temp_mean", half: int = HALF, guard_days: int = 7, min_n: int = MIN_N) -> DataFrame:
@@ -216,7 +219,9 @@ def leakage_audit(obs: DataFrame, z: DataFrame, cities: Sequence[int] | None = N
 def variability_rank(normal: DataFrame) -> DataFrame:
     """Cities by mean sigma, steadiest first."""
     means = normal.groupBy("city_id").agg(F.avg("sigma").alias("mean_sigma"))
-    return means.withColumn("rank", F.rank().over(Window.orderBy("mean_sigma")))
+    per = running(means.groupBy("mean_sigma").agg(F.count("*").alias("n")), [F.asc("mean_sigma")], {"upto": "n"})
+    rank = per.select(F.col("mean_sigma").alias("_s"), (F.col("upto") - F.col("n") + 1).cast("int").alias("rank"))
+    return means.join(rank, F.col("mean_sigma").eqNullSafe(F.col("_s"))).drop("_s")
 
 
 def threshold_compare(flags: DataFrame, abs_delta: float) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .features import days
+from .running import running
 
 
 def persistence_baseline(df: DataFrame, width: int = 7) -> DataFrame:
@@ -28,30 +29,30 @@ def climatology_baseline(train: DataFrame, df: DataFrame, label: str = "label",
     return out.withColumn("score", F.coalesce("_by_week", "_by_city", "_overall")).drop("_week", "_by_week", "_by_city", "_overall")
 
 
-def threshold_table(df: DataFrame, score: str = "score", label: str = "label", bins: int | None = None) -> DataFrame:
-    """Per distinct score s: rows and positives at s, and cumulated over scores >= s (all, tp), and the totals.
+def threshold_table(df: DataFrame, score: str = "score", label: str = "label", bins: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Per distinct score s (and group of ``by``): rows and positives at s, cumulated over scores >= s (all, tp), and the total positives.
 
-    Rows are grouped by score before anything is ordered, so what the cumulative window sees is one row a
-    distinct score; ``bins`` floors scores to that many steps where there are too many.
+    Rows are grouped by score before anything is ordered; the running sums are taken range by range, so the
+    number of distinct scores may be as large as the table. ``bins`` floors scores to that many steps.
     """
     s = F.col(score) if bins is None else F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)) / bins
-    per = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(s.alias("s"))
+    per = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(*by, s.alias("s"))
     per = per.agg(F.count("*").alias("n"), F.sum(label).cast("long").alias("pos"))
-    down = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return per.select("s", "n", "pos", F.sum("n").over(down).alias("all"), F.sum("pos").over(down).alias("tp"), F.sum("pos").over(whole).alias("positives"))
+    cumulated = running(per, [F.desc("s")], {"all": "n", "tp": "pos"}, by)
+    whole = F.broadcast(cumulated.groupBy(*by).agg(F.max("tp").alias("positives")))  # one row a group
+    return cumulated.join(whole, list(by)) if by else cumulated.join(whole)
 
 
-def pr_auc(df: DataFrame, score: str = "score", label: str = "label", bins: int | None = None) -> DataFrame:
-    """One row: average precision (ties taken together) and the trapezoid under the same points from recall 0 on."""
-    t = threshold_table(df, score, label, bins)
+def pr_auc(df: DataFrame, score: str = "score", label: str = "label", bins: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """One row (a group of ``by``): average precision (ties taken together) and the trapezoid under the same points from recall 0 on."""
+    t = threshold_table(df, score, label, bins, by)
     precision, recall = F.col("tp") / F.col("all"), F.try_divide(F.col("tp"), F.col("positives"))
-    before = Window.orderBy(F.desc("s"))
-    t = t.select("s", "pos", "positives", precision.alias("p"), recall.alias("r"))
-    t = t.withColumn("_p0", F.coalesce(F.lag("p").over(before), F.lit(1.0))).withColumn("_r0", F.coalesce(F.lag("r").over(before), F.lit(0.0)))
-    return t.agg(
-        F.sum(F.try_divide(F.col("pos"), F.col("positives")) * F.col("p")).alias("average_precision"),
-        F.sum((F.col("r") - F.col("_r0")) * (F.col("p") + F.col("_p0")) / 2).alias("trapezoid"),
+    above_all, above_tp = F.col("all") - F.col("n"), F.col("tp") - F.col("pos")
+    p0 = F.coalesce(F.try_divide(above_tp, above_all), F.lit(1.0))
+    r0 = F.coalesce(F.try_divide(above_tp, F.col("positives")), F.lit(0.0))
+    return t.groupBy(*by).agg(
+        F.sum(F.try_divide(F.col("pos"), F.col("positives")) * precision).alias("average_precision"),
+        F.sum((recall - r0) * (precision + p0) / 2).alias("trapezoid"),
     )
 
 
@@ -105,11 +106,7 @@ def compare_models(predictions: dict[str, DataFrame], threshold: float = 0.5, sc
     out = None
     for name, df in predictions.items():
         known = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
-        per = known.groupBy("split", F.col(score).alias("s")).agg(F.count("*").alias("n"), F.sum(label).cast("long").alias("pos"))
-        down = Window.partitionBy("split").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        whole = Window.partitionBy("split")
-        per = per.withColumn("p", F.sum("pos").over(down) / F.sum("n").over(down)).withColumn("positives", F.sum("pos").over(whole))
-        ap = per.groupBy("split").agg(F.sum(F.try_divide(F.col("pos"), F.col("positives")) * F.col("p")).alias("average_precision"))
+        ap = pr_auc(known, score, label, by=["split"]).select("split", "average_precision")
         f1 = f1_at(known, threshold, score, label, ["split"]).select("split", "f1")
         error = known.groupBy("split").agg(F.avg((F.col(score) - F.col(label)) ** 2).alias("brier"))
         wide = ap.join(f1, "split").join(error, "split").withColumn("model", F.lit(name))

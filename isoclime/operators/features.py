@@ -6,14 +6,14 @@ place's series is bounded by the calendar, so no window partition grows with the
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from isoclime.functions.calendar import cyclic, day_slot
 
-LAGS, ROLLS, HORIZON = (1, 3, 7, 14), (7, 30), 7
+LAGS, ROLLS, LEAD_DAYS = (1, 3, 7, 14), (7, 30), 7
 
 
 def days(first: int, last: int, entity: str = "city_id", day: str = "obs_date") -> WindowSpec:
@@ -72,25 +72,25 @@ def anomaly_count(df: DataFrame, width: int = 30) -> DataFrame:
     return df.withColumn(f"anomaly_count{width}", F.sum(F.coalesce(F.col("is_anomaly").cast("int"), F.lit(0))).over(days(-width + 1, 0)))
 
 
-def forward_label(df: DataFrame, horizon: int = HORIZON, min_observed: int = 1) -> DataFrame:
-    """label: 1 if any of t+1..t+horizon is an anomaly, else 0.
+def forward_label(df: DataFrame, lead: int = LEAD_DAYS, min_observed: int = 1) -> DataFrame:
+    """label: 1 if any of t+1..t+lead is an anomaly, else 0.
 
-    Null where t+horizon lies beyond the place's last day, or fewer than ``min_observed`` of the days have a
+    Null where t+lead lies beyond the place's last day, or fewer than ``min_observed`` of the days have a
     flag; then 0 could be wrong.
     """
-    ahead = days(1, horizon)
+    ahead = days(1, lead)
     newest = F.max("obs_date").over(Window.partitionBy("city_id"))
     hit = F.max(F.col("is_anomaly").cast("int")).over(ahead)
-    known = (F.date_add("obs_date", horizon) <= newest) & (F.count("is_anomaly").over(ahead) >= min_observed)
+    known = (F.date_add("obs_date", lead) <= newest) & (F.count("is_anomaly").over(ahead) >= min_observed)
     return df.withColumn("label", F.when(known, hit))
 
 
-def feature_table(daily: DataFrame, flags: DataFrame, cities: DataFrame, horizon: int = HORIZON) -> DataFrame:
+def feature_table(daily: DataFrame, flags: DataFrame, cities: DataFrame, lead: int = LEAD_DAYS) -> DataFrame:
     """Features and label per city and day, from gold tables only; write it partitioned by year."""
     z = flags.select("city_id", "obs_date", "z", "is_anomaly")
     df = daily.select("city_id", "obs_date", "temp_mean", "surface_pressure").join(z, ["city_id", "obs_date"], "left")
     df = pressure_tendency_daily(trailing_z(rolling(lags(df))))
-    df = forward_label(anomaly_count(df), horizon)
+    df = forward_label(anomaly_count(df), lead)
     return static_features(cyclic_doy(df), cities).withColumn("year", F.year("obs_date"))
 
 
@@ -101,7 +101,7 @@ FEATURES = [
 ]
 
 
-def chronological_split(df: DataFrame, train_end: str, val_end: str, purge: int = HORIZON, day: str = "obs_date") -> DataFrame:
+def chronological_split(df: DataFrame, train_end: str, val_end: str, purge: int = LEAD_DAYS, day: str = "obs_date") -> DataFrame:
     """split: train, validate or test by date; rows whose label window crosses a boundary are dropped."""
     d, t, v = F.col(day), F.lit(train_end).cast("date"), F.lit(val_end).cast("date")
     split = F.when(d <= t, "train").when(d <= v, "validate").otherwise("test")
@@ -115,12 +115,24 @@ def class_balance(df: DataFrame, label: str = "label") -> DataFrame:
     return df.groupBy("split").agg(n.alias("n"), pos.alias("positives"), F.try_divide(pos, n).alias("rate"), F.try_divide(n - pos, pos).alias("pos_weight"))
 
 
-def point_in_time_audit(daily: DataFrame, flags: DataFrame, cities: DataFrame, as_of: str, columns: Sequence[str] = FEATURES) -> DataFrame:
-    """(city_id, obs_date, feature) whose value on day ``as_of`` changes when later data are removed; empty if none leaks."""
+def write_feature_table(features: DataFrame, path: str) -> None:
+    """Stored by year: a reader of some years opens their folders only."""
+    features.repartition("year", "city_id").write.partitionBy("year").mode("overwrite").parquet(path)
+
+
+def point_in_time_audit(
+    daily: DataFrame, flags_of: Callable[[DataFrame], DataFrame], cities: DataFrame, as_of: str, columns: Sequence[str] = FEATURES, tolerance: float = 1e-9
+) -> DataFrame:
+    """(city_id, obs_date, feature, with_future, without) whose value on day ``as_of`` changes when later data are removed; empty if none leaks.
+
+    ``flags_of`` makes the flags from a daily series and is run again on the cut one, so a baseline that looks
+    ahead shows. Values within a relative ``tolerance`` are the same.
+    """
     cut = F.lit(as_of).cast("date")
     at = lambda df: df.filter(F.col("obs_date") == cut).select("city_id", "obs_date", *(F.col(c).cast("double").alias(c) for c in columns))
-    full = at(feature_table(daily, flags, cities))
-    past = at(feature_table(daily.filter(F.col("obs_date") <= cut), flags.filter(F.col("obs_date") <= cut), cities))
+    past_days = daily.filter(F.col("obs_date") <= cut)
+    full, past = at(feature_table(daily, flags_of(daily), cities)), at(feature_table(past_days, flags_of(past_days), cities))
     long = lambda df, name: df.unpivot(["city_id", "obs_date"], list(columns), "feature", name)
     both = long(full, "with_future").join(long(past, "without"), ["city_id", "obs_date", "feature"], "full_outer")
-    return both.filter(~F.col("with_future").eqNullSafe(F.col("without")))
+    a, b = F.col("with_future"), F.col("without")
+    return both.filter(~F.coalesce(F.abs(a - b) <= tolerance * F.greatest(F.abs(a), F.abs(b), F.lit(1.0)), a.isNull() & b.isNull()))

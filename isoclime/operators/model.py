@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from .cleaning import dedup_latest
 from .evaluation import pr_auc
-from .features import FEATURES, HORIZON
+from .features import FEATURES, LEAD_DAYS
+from .running import running
 
 PARTITIONS, SEED = 8, 42
 
@@ -47,12 +48,12 @@ def scored(model: PipelineModel, df: DataFrame, features: Sequence[str] = FEATUR
     return out.select(*df.columns, "score")
 
 
-def predict(model: PipelineModel, df: DataFrame, version: str, scored_at: str, threshold: float = 0.5, features: Sequence[str] = FEATURES, horizon: int = HORIZON) -> DataFrame:
-    """fact_ml_predictions: forecast_date t covers t+1..t+horizon."""
+def predict(model: PipelineModel, df: DataFrame, version: str, scored_at: str, threshold: float = 0.5, features: Sequence[str] = FEATURES, lead: int = LEAD_DAYS) -> DataFrame:
+    """fact_ml_predictions: forecast_date t covers t+1..t+lead."""
     out = scored(model, df, features)
     return out.select(
         "city_id", F.col("obs_date").alias("forecast_date"), F.col("score").alias("risk_score"), (F.col("score") >= threshold).cast("int").alias("label"),
-        F.lit(version).alias("model_version"), F.lit(scored_at).cast("timestamp").alias("scored_at"), F.lit(horizon).alias("horizon_days"),
+        F.lit(version).alias("model_version"), F.lit(scored_at).cast("timestamp").alias("scored_at"), F.lit(lead).alias("lead_days"),
     )
 
 
@@ -85,7 +86,7 @@ def shapley_importance(model: PipelineModel, rows: DataFrame, background: DataFr
     move is its contribution. Sums over features equal the row's score minus the mean background score.
     """
     k, values = len(features), lambda p: F.array(*(F.col(c).cast("double") for c in features)).alias(p)
-    a = rows.withColumn("row_id", F.row_number().over(Window.orderBy("city_id", "obs_date"))).select("row_id", values("a"))
+    a = running(rows.withColumn("_one", F.lit(1)), [F.col("city_id"), F.col("obs_date")], {"row_id": "_one"}).select("row_id", values("a"))
     b = background.withColumn("back_id", F.row_number().over(Window.orderBy("city_id", "obs_date"))).select("back_id", values("b"))
     ids = F.sequence(F.lit(0), F.lit(k - 1))
     order = F.array_sort(F.transform(ids, lambda i: F.struct(F.xxhash64(F.lit(seed), F.col("row_id"), F.col("back_id"), F.col("perm"), i).alias("h"), i.alias("i"))))
@@ -107,12 +108,14 @@ def mean_importance(phi: DataFrame) -> DataFrame:
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, columns: Sequence[str], features: Sequence[str] = FEATURES, seed: int = SEED) -> DataFrame:
-    """feature, drop in average precision when its values change places (on a bounded sample)."""
-    base = df.filter("label IS NOT NULL").withColumn("_i", F.row_number().over(Window.orderBy("city_id", "obs_date")))
+    """feature, drop in average precision when its values change places among all rows; rows are numbered range by range."""
+    base = df.filter("label IS NOT NULL").withColumn("_one", F.lit(1))
+    base = running(base, [F.col("city_id"), F.col("obs_date")], {"_i": "_one"})
     known = pr_auc(scored(model, base, features)).first()["average_precision"]
     out = []
     for c in columns:
-        other = base.select(F.row_number().over(Window.orderBy(F.xxhash64(F.lit(seed), F.lit(c), "_i"))).alias("_i"), F.col(c).alias("_v"))
-        mixed = base.join(other, "_i").withColumn(c, F.col("_v")).drop("_v")
+        spot = F.xxhash64(F.lit(seed), F.lit(c), "_i")
+        other = running(base.select("_i", "_one", F.col(c).alias("_v")), [spot, F.col("_i")], {"_j": "_one"})
+        mixed = base.join(other.select(F.col("_j").alias("_i"), "_v"), "_i").withColumn(c, F.col("_v")).drop("_v")
         out.append((c, known - pr_auc(scored(model, mixed, features)).first()["average_precision"]))
     return df.sparkSession.createDataFrame(out, "feature string, importance double")

@@ -154,6 +154,20 @@ def a10(spark: SparkSession, d: str) -> DataFrame:
     return landing.corrupt(proxies.daily(spark, d)).select("city_id", "obs_date", r("temp_mean"), "synthetic_fault")
 
 
+@query(
+    "a10_corrupt_hourly",
+    sql("px_hourly px_cities", """, t AS (SELECT h.city_id, ts, wind_speed, pressure, timezone AS tz, h.city_id * 31 + CAST(floor(epoch(ts) / 3600) AS BIGINT) + 5 AS turn FROM px_hourly h JOIN px_cities c ON c.city_id = h.city_id
+), k AS (SELECT *, CASE WHEN turn % 13 = 0 THEN 'null' WHEN turn % 9 = 0 THEN 'miles' WHEN turn % 19 = 0 THEN 'local_time' ELSE 'none' END AS fault FROM t
+), u AS (SELECT city_id, CASE WHEN fault = 'local_time' THEN timezone(tz, timezone('UTC', ts)) ELSE ts END AS stamp, CASE WHEN fault = 'miles' THEN wind_speed * 5 / 8 ELSE wind_speed END AS wind_speed,
+    CASE WHEN fault <> 'null' THEN pressure END AS pressure, fault AS synthetic_fault FROM k UNION ALL SELECT city_id, ts, wind_speed, pressure, 'duplicate' FROM t WHERE turn % 11 = 0)
+SELECT city_id, strftime(stamp, '%Y-%m-%d %H:%M:%S') AS stamp, round(wind_speed + 1e-7, 4) AS wind_speed, round(pressure + 1e-7, 4) AS pressure, synthetic_fault FROM u"""),
+)
+def a10_hourly(spark: SparkSession, d: str) -> DataFrame:
+    rows = proxies.hourly(spark, d).join(proxies.cities(spark, d).select("city_id", "timezone"), "city_id")
+    bad = landing.corrupt(rows, "pressure", seed=5, every={"miles": 9}, units={"wind_speed": ("miles", 5, 8, 0)}, stamp="ts", zone="timezone")
+    return bad.select("city_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("stamp"), r("wind_speed"), r("pressure"), "synthetic_fault")
+
+
 @query("a11_export_csv", sql("px_daily", "SELECT city_id, obs_date, temp_mean FROM px_daily"))
 def a11(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "csv")
@@ -408,6 +422,24 @@ def h5(spark: SparkSession, d: str) -> DataFrame:
     return checks.check_expectations(proxies.daily(spark, d), EXPECTATIONS)
 
 
+ORDER_EXPECTATIONS = [
+    {"kind": "regex", "column": "event_type", "pattern": "^(click|view)$"},
+    {"kind": "monotone", "column": "ts", "by": ["user_id"], "order": ["event_id"]},
+    {"kind": "monotone", "column": "value", "by": ["user_id"], "order": ["event_id"]},
+]
+
+
+@query(
+    "h5_order_expectations",
+    """WITH e AS (SELECT *, ts < lag(ts) OVER w AS falls_ts, value < lag(value) OVER w AS falls_value FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)
+), c AS (SELECT unnest(['regex(event_type)', 'monotone(ts)', 'monotone(value)']) AS expectation,
+  unnest([count(*) FILTER (NOT regexp_matches(event_type, '^(click|view)$')), count(*) FILTER (falls_ts), count(*) FILTER (falls_value)]) AS failing FROM e)
+SELECT expectation, CAST(failing AS BIGINT) AS failing, failing = 0 AS ok FROM c""",
+)
+def h5_order(spark: SparkSession, d: str) -> DataFrame:
+    return checks.check_expectations(proxies.table(spark, d, "events"), ORDER_EXPECTATIONS)
+
+
 @query(
     "h6_run_suite",
     sql("px_daily px_cities", """, k AS (

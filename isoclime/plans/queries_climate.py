@@ -41,6 +41,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+#: Years up to TRAIN_END: all that baselines behind a model may know.
+TRAIN_YEARS = range(1990, 1999)
+
+
+def strict(daily_rows: DataFrame) -> DataFrame:
+    """Flags whose normals come from training years alone: features and labels of later days owe nothing to later years."""
+    return clim.anomalies(daily_rows, pooling="pooled", reference_years=TRAIN_YEARS)
+
+
 def pooled(spark: SparkSession, d: str) -> DataFrame:
     """The flagged series with pooled own-year-out normals, from the deduplicated raw layer; silver and flags are written."""
     silver = saved(dedup_latest(proxies.bronze(spark, d), ["city_id", "obs_date"], ["ingested_at"], ["seq"]), "silver")
@@ -199,11 +208,11 @@ def d11(spark: SparkSession, d: str) -> DataFrame:
     return clim.leap_audit(obs, clim.zscore(obs, clim.loyo_normals(obs)))
 
 
-@query("d12_leakage_audit", sql("px_z", 'SELECT city_id, count(*) AS "rows", 0::BIGINT AS max_n_diff, 0.0::DOUBLE AS max_mu_diff, 0.0::DOUBLE AS max_sigma_diff FROM px_z WHERE city_id IN (4, 3, 2, 1, 0) AND n >= 2 GROUP BY 1'))
+@query("d12_leakage_audit", sql("px_z", 'SELECT city_id, count(*) AS "rows", 0::BIGINT AS max_n_diff, 0.0::DOUBLE AS max_mu_diff, 0.0::DOUBLE AS max_sigma_diff FROM px_z WHERE n >= 2 GROUP BY 1'))
 def d12(spark: SparkSession, d: str) -> DataFrame:
     obs = daily(spark, d)
     z = clim.zscore(obs, clim.loyo_normals(obs)).filter("n IS NOT NULL")
-    return clim.leakage_audit(obs, z, [4, 3, 2, 1, 0])
+    return clim.leakage_audit(obs, z)
 
 
 @query(
@@ -332,17 +341,30 @@ def e10(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    "e10_feature_table_by_year",
+    sql("px_zf px_daily", """, f AS (SELECT p.city_id, p.obs_date, is_anomaly, year FROM px_daily p JOIN px_zf USING (city_id, obs_date)
+), w AS (SELECT city_id, obs_date, year, CAST(sum(coalesce(CAST(is_anomaly AS INTEGER), 0)) OVER (PARTITION BY city_id ORDER BY obs_date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS anomaly_count30 FROM f)
+SELECT city_id, obs_date, CAST(year AS INTEGER) AS year, anomaly_count30 FROM w WHERE year = 1999"""),
+)
+def e10_by_year(spark: SparkSession, d: str) -> DataFrame:
+    """One year of the stored table: the filter prunes the other years' folders."""
+    path = scratch(spark, "feature_table")
+    ft.write_feature_table(feature_rows(spark, d), path)
+    return spark.read.parquet(path).filter("year = 1999").select("city_id", "obs_date", "year", "anomaly_count30")
+
+
 SPLIT = """, s AS (SELECT *, CASE WHEN obs_date <= DATE '1998-12-31' THEN 'train' WHEN obs_date <= DATE '1999-12-31' THEN 'validate' ELSE 'test' END AS split FROM l
   WHERE NOT (obs_date <= DATE '1998-12-31' AND obs_date + 7 > DATE '1998-12-31') AND NOT (obs_date > DATE '1998-12-31' AND obs_date <= DATE '1999-12-31' AND obs_date + 7 > DATE '1999-12-31'))"""
 
 
-def labelled(spark: SparkSession, d: str) -> DataFrame:
-    return ft.chronological_split(ft.forward_label(pooled(spark, d)), TRAIN_END, VAL_END)
+def labelled(flags: DataFrame) -> DataFrame:
+    return ft.chronological_split(ft.forward_label(flags), TRAIN_END, VAL_END)
 
 
 @query("e11_chronological_split", sql("px_zf", LABEL + SPLIT + " SELECT city_id, obs_date, split, label FROM s"))
 def e11(spark: SparkSession, d: str) -> DataFrame:
-    return labelled(spark, d).select("city_id", "obs_date", "split", "label")
+    return labelled(pooled(spark, d)).select("city_id", "obs_date", "split", "label")
 
 
 @query(
@@ -351,12 +373,21 @@ def e11(spark: SparkSession, d: str) -> DataFrame:
   round((count(label) - sum(label)) / nullif(sum(label), 0) + 1e-7, 4) AS pos_weight FROM s GROUP BY 1"""),
 )
 def e12(spark: SparkSession, d: str) -> DataFrame:
-    return ft.class_balance(labelled(spark, d)).select("split", "n", "positives", r("rate"), r("pos_weight"))
+    return ft.class_balance(labelled(pooled(spark, d))).select("split", "n", "positives", r("rate"), r("pos_weight"))
 
 
 @query("e13_point_in_time_audit", sql("px_daily", "SELECT city_id, obs_date, CAST(NULL AS VARCHAR) AS feature FROM px_daily WHERE false"))
 def e13(spark: SparkSession, d: str) -> DataFrame:
-    return ft.point_in_time_audit(daily(spark, d), pooled(spark, d), dim_cities(proxies.cities(spark, d)), "1999-03-15").select("city_id", "obs_date", "feature")
+    audit = ft.point_in_time_audit(saved(daily(spark, d), "daily"), strict, dim_cities(proxies.cities(spark, d)), "1999-03-15")
+    return audit.select("city_id", "obs_date", "feature")
+
+
+@query("e13_point_in_time_audit_pooled")
+def e13_pooled(spark: SparkSession, d: str) -> DataFrame:
+    """The same audit of flags whose baselines see all other years: what it reports is the leak."""
+    flags_of = lambda rows: clim.anomalies(rows, pooling="pooled")
+    audit = ft.point_in_time_audit(saved(daily(spark, d), "daily"), flags_of, dim_cities(proxies.cities(spark, d)), "1999-03-15", ["z_now", "z_last", "anomaly_count30"])
+    return audit.select("city_id", "obs_date", "feature", r("with_future"), r("without"))
 
 
 # Baselines, metrics, models
@@ -371,30 +402,33 @@ CUMULATED = """, k AS (SELECT score AS s0, count(*) AS n, sum(label) AS pos FROM
 ), t AS (SELECT *, sum(n) OVER (ORDER BY s0 DESC) AS alln, sum(pos) OVER (ORDER BY s0 DESC) AS tp, sum(pos) OVER () AS positives FROM k)"""
 
 
-def persistence(spark: SparkSession, d: str) -> DataFrame:
-    flags = pooled(spark, d)
-    rows = ft.chronological_split(ft.forward_label(flags), TRAIN_END, VAL_END)
+def persistence(flags: DataFrame) -> DataFrame:
+    rows = labelled(flags)
     return saved(rows.join(ev.persistence_baseline(flags).select("city_id", "obs_date", "score"), ["city_id", "obs_date"]), "persistence")
 
 
-def climate(spark: SparkSession, d: str) -> DataFrame:
-    rows = labelled(spark, d)
+def climate(flags: DataFrame) -> DataFrame:
+    rows = labelled(flags)
     return ev.climatology_baseline(rows.filter("split = 'train'"), rows)
 
 
 @query("f1_persistence_baseline", sql("px_zf", PERSIST + " SELECT city_id, obs_date, split, score FROM p"))
 def f1(spark: SparkSession, d: str) -> DataFrame:
-    return persistence(spark, d).select("city_id", "obs_date", "split", "score")
+    return persistence(pooled(spark, d)).select("city_id", "obs_date", "split", "score")
 
 
 @query("f2_climatology_baseline", sql("px_zf", CLIMATE + " SELECT city_id, obs_date, split, round(score + 1e-7, 4) AS score FROM c"))
 def f2(spark: SparkSession, d: str) -> DataFrame:
-    return climate(spark, d).select("city_id", "obs_date", "split", r("score"))
+    return climate(pooled(spark, d)).select("city_id", "obs_date", "split", r("score"))
 
 
 def rounded(spark: SparkSession, d: str) -> DataFrame:
     """The climatology baseline with rounded scores, so that equal scores are equal wherever they were computed."""
-    return saved(climate(spark, d).withColumn("score", F.round("score", 6)), "scores")
+    return saved(rounded_scores(pooled(spark, d)), "scores")
+
+
+def rounded_scores(flags: DataFrame) -> DataFrame:
+    return climate(flags).withColumn("score", F.round("score", 6))
 
 
 ROUNDED = CLIMATE.replace("coalesce(bw.a, bc.a, (SELECT avg(label) FROM tr)) AS score", "round(coalesce(bw.a, bc.a, (SELECT avg(label) FROM tr)), 6) AS score")
@@ -471,7 +505,8 @@ COMPARED = ROUNDED + f""", p0 AS (SELECT city_id, obs_date, CAST(max(coalesce(CA
 
 
 def compared(spark: SparkSession, d: str) -> DataFrame:
-    return ev.compare_models({"climatology": rounded(spark, d), "persistence": persistence(spark, d)})
+    flags = pooled(spark, d)
+    return ev.compare_models({"climatology": saved(rounded_scores(flags), "scores"), "persistence": persistence(flags)})
 
 
 @query("f10_compare_models", sql("px_zf", COMPARED + " SELECT model, split, metric, round(value + 1e-7, 4) AS value FROM metrics"))
@@ -489,14 +524,31 @@ def f10_beats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def saved_features(spark: SparkSession, d: str) -> DataFrame:
-    """The feature table, written and read back: models pass over it many times."""
-    return saved(ft.chronological_split(feature_rows(spark, d), TRAIN_END, VAL_END), "features")
+    """The feature table with strict flags, split, written and read back: models pass over it many times."""
+    return saved(split_features(spark, d, saved(strict(daily(spark, d)), "strict_flags")), "features")
+
+
+def split_features(spark: SparkSession, d: str, flags: DataFrame) -> DataFrame:
+    rows = ft.feature_table(daily(spark, d), flags, dim_cities(proxies.cities(spark, d)))
+    return ft.chronological_split(rows, TRAIN_END, VAL_END)
 
 
 def small_model(rows: DataFrame):
     return ml.train(rows.filter("split = 'train'"), max_iter=5, depth=3)
 
 
+@query("f10_model_verdict")
+def f10_model(spark: SparkSession, d: str) -> DataFrame:
+    """The trained model against both baselines, all on strict flags; ``beats`` is the verdict on the test split."""
+    flags = saved(strict(daily(spark, d)), "strict_flags")
+    rows = saved(split_features(spark, d, flags), "features")
+    trees = ml.scored(small_model(rows), rows).select("split", "score", "label")
+    metrics = ev.compare_models({"trees": saved(trees, "trees"), "climatology": saved(climate(flags), "scores"), "persistence": persistence(flags)})
+    metrics = saved(metrics, "metrics")
+    verdict = ev.beats_baselines(metrics, "trees").select("beats")
+    return metrics.join(F.broadcast(verdict)).select("model", "split", "metric", r("value"), "beats")
+
+
 BACKGROUND = 16
 
 
@@ -530,14 +582,16 @@ def f13(spark: SparkSession, d: str) -> DataFrame:
     rows = saved_features(spark, d)
     new = ml.predict(small_model(rows), rows.filter("split = 'test'"), "v2", "2026-02-02 00:00:00")
     old = new.withColumn("model_version", F.lit("v1")).withColumn("scored_at", F.lit("2026-01-01 00:00:00").cast("timestamp"))
-    return ml.upsert_predictions(old, new).select("city_id", "forecast_date", r("risk_score"), "label", "model_version", "horizon_days")
+    return ml.upsert_predictions(old, new).select("city_id", "forecast_date", r("risk_score"), "label", "model_version", "lead_days")
 
 
 @query("f14_save_model")
 def f14(spark: SparkSession, d: str) -> DataFrame:
     rows, path = saved_features(spark, d), scratch(spark, "model")
     meta = {"train_end": TRAIN_END, "features": ft.FEATURES, "seed": ml.SEED, "partitions": ml.PARTITIONS, "max_iter": 5, "depth": 3}
-    ml.save_model(small_model(rows), path, meta)
+    trained = small_model(rows)
+    measured = ev.pr_auc(ml.scored(trained, rows.filter("split = 'validate'"))).first()
+    ml.save_model(trained, path, meta | {"metrics": {"validate_average_precision": measured["average_precision"]}})
     model, known = ml.load_model(path)
     out = ml.scored(model, rows.filter("split = 'test'"), known["features"])
     return out.select("city_id", "obs_date", r("score"))
@@ -604,6 +658,17 @@ def g4(spark: SparkSession, d: str) -> DataFrame:
     return views.storm_dynamics(proxies.hourly(spark, d)).select("city_id", "date", r("pressure_drop"), "peak_gust")
 
 
+GUSTS = """, gu AS (SELECT CAST(user_id % 15 AS INTEGER) AS city_id, CAST(ts AS DATE) AS date, 2 * max(value) AS wind_gust FROM events WHERE day(ts) % 2 = 0 GROUP BY 1, 2)"""
+
+
+@query("g4_storm_dynamics_gusts", sql("px_hourly", STORMS + GUSTS + " SELECT city_id, date, round(pressure_drop + 1e-7, 4) AS pressure_drop, round(coalesce(wind_gust, peak_gust) + 1e-7, 4) AS peak_gust FROM st LEFT JOIN gu USING (city_id, date)"))
+def g4_gusts(spark: SparkSession, d: str) -> DataFrame:
+    """With a daily gust where there is one (even days), else the day's highest hourly wind."""
+    events = proxies.table(spark, d, "events").filter("day(ts) % 2 = 0")
+    gusts = events.groupBy((F.col("user_id") % 15).cast("int").alias("city_id"), F.to_date("ts").alias("date")).agg((2 * F.max("value")).alias("wind_gust"))
+    return views.storm_dynamics(proxies.hourly(spark, d), gusts).select("city_id", "date", r("pressure_drop"), r("peak_gust"))
+
+
 @query("g4_storm_correlation", sql("px_hourly", STORMS + " SELECT city_id, count(*) AS days, round(corr(pressure_drop, peak_gust) + 1e-7, 4) AS correlation FROM st GROUP BY 1"))
 def g4c(spark: SparkSession, d: str) -> DataFrame:
     return views.storm_correlation(views.storm_dynamics(proxies.hourly(spark, d))).select("city_id", "days", r("correlation"))
@@ -618,14 +683,14 @@ def scores(spark: SparkSession, d: str) -> DataFrame:
     return rounded(spark, d).select("city_id", F.col("obs_date").alias("forecast_date"), F.col("score").alias("risk_score"))
 
 
-@query("g5_risk_horizon", sql("px_zf", ROUNDED + CELLS + " SELECT * FROM hz"))
+@query("g5_week_risk", sql("px_zf", ROUNDED + CELLS + " SELECT * FROM hz"))
 def g5(spark: SparkSession, d: str) -> DataFrame:
-    return views.risk_horizon(scores(spark, d), AS_OF)
+    return views.week_risk(scores(spark, d), AS_OF)
 
 
-@query("g5_risk_horizon_wide", sql("px_zf", ROUNDED + CELLS + " SELECT city_id, " + ", ".join(f"max(risk) FILTER (target_date - DATE '2000-06-30' = {i}) AS day{i}" for i in range(1, 8)) + " FROM hz GROUP BY 1"))
+@query("g5_week_risk_wide", sql("px_zf", ROUNDED + CELLS + " SELECT city_id, " + ", ".join(f"max(risk) FILTER (target_date - DATE '2000-06-30' = {i}) AS day{i}" for i in range(1, 8)) + " FROM hz GROUP BY 1"))
 def g5w(spark: SparkSession, d: str) -> DataFrame:
-    return views.risk_horizon_wide(views.risk_horizon(scores(spark, d), AS_OF), AS_OF)
+    return views.week_risk_wide(views.week_risk(scores(spark, d), AS_OF), AS_OF)
 
 
 @query("g6_top_risk", sql("px_zf", ROUNDED + " SELECT city_id, score AS risk_score, CAST(row_number() OVER (ORDER BY score DESC, city_id) AS INTEGER) AS rank FROM c WHERE obs_date = DATE '2000-06-30' ORDER BY rank LIMIT 5"))

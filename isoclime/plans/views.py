@@ -1,4 +1,4 @@
-"""The marts behind the four views: map, matrix, storms, risk horizon."""
+"""The marts behind the four views: map, matrix, storms, risk of the week."""
 
 from __future__ import annotations
 
@@ -56,20 +56,20 @@ def storm_correlation(storms: DataFrame) -> DataFrame:
     return storms.groupBy("city_id").agg(F.count("*").alias("days"), F.corr("pressure_drop", "peak_gust").alias("correlation"))
 
 
-def risk_horizon(predictions: DataFrame, as_of: str, horizon: int = 7) -> DataFrame:
-    """City and target day of the ``horizon`` days after ``as_of``: the largest score issued so far whose window covers the day."""
+def week_risk(predictions: DataFrame, as_of: str, lead: int = 7) -> DataFrame:
+    """City and target day of the ``lead`` days after ``as_of``: the largest score issued so far whose window covers the day."""
     day = F.lit(as_of).cast("date")
-    issued = predictions.filter(F.col("forecast_date").between(F.date_sub(day, horizon - 1), day))
-    cells = issued.withColumn("target_date", F.explode(F.sequence(F.date_add("forecast_date", 1), F.date_add("forecast_date", horizon))))
+    issued = predictions.filter(F.col("forecast_date").between(F.date_sub(day, lead - 1), day))
+    cells = issued.withColumn("target_date", F.explode(F.sequence(F.date_add("forecast_date", 1), F.date_add("forecast_date", lead))))
     ahead = cells.filter(F.col("target_date") > day)
     return ahead.groupBy("city_id", "target_date").agg(F.max("risk_score").alias("risk"))
 
 
-def risk_horizon_wide(cells: DataFrame, as_of: str, horizon: int = 7) -> DataFrame:
+def week_risk_wide(cells: DataFrame, as_of: str, lead: int = 7) -> DataFrame:
     """The same with one column for each day ahead."""
     ahead = F.date_diff("target_date", F.lit(as_of).cast("date"))
     named = cells.withColumn("_d", F.concat(F.lit("day"), ahead.cast("string")))
-    return named.groupBy("city_id").pivot("_d", [f"day{i}" for i in range(1, horizon + 1)]).agg(F.max("risk"))
+    return named.groupBy("city_id").pivot("_d", [f"day{i}" for i in range(1, lead + 1)]).agg(F.max("risk"))
 
 
 def top_risk(predictions: DataFrame, as_of: str, k: int = 5) -> DataFrame:

@@ -100,17 +100,34 @@ def pivot_long(df: DataFrame, elements: Sequence[str], entity: str = "city_id",
     return df.groupBy(entity, day).pivot("element", list(elements)).agg(F.max("value"))
 
 
-def corrupt(df: DataFrame, value: str = "temp_mean", entity: str = "city_id", day: str = "obs_date") -> DataFrame:
+EVERY = {"duplicate": 11, "null": 13, "fahrenheit": 17, "miles": 7, "local_time": 19}
+UNITS = {"temp_mean": ("fahrenheit", 9, 5, 32)}
+
+
+def corrupt(
+    df: DataFrame, value: str = "temp_mean", entity: str = "city_id", day: str = "obs_date", seed: int = 0, every: dict[str, int] | None = None,
+    units: dict[str, tuple[str, float, float, float]] = UNITS, stamp: str | None = None, zone: str | None = None,
+) -> DataFrame:
     """Labelled synthetic mess, the same on every run: synthetic_fault says what was done to a row.
 
-    By key arithmetic: every 11th row also arrives twice, every 13th loses its value, every 17th has it in
-    Fahrenheit; all others are clean.
+    By key arithmetic: a row's turn is 31 * entity plus its day (its hour, if ``stamp`` is given) plus ``seed``, and a
+    fault befalls every so manieth turn (``every`` overrides ``EVERY``): null loses the value; a unit of ``units``
+    (column: name, numerator, denominator, offset) shifts its column; local_time turns the UTC ``stamp`` into the
+    local time of the ``zone`` column; duplicate lets the row arrive again. The first that applies counts.
     """
-    turn = F.col(entity) * 31 + F.unix_date(day)
-    fault = F.when(turn % 13 == 0, "null").when(turn % 17 == 0, "fahrenheit").otherwise("none")
-    bad = F.when(turn % 13 == 0, F.lit(None)).when(turn % 17 == 0, F.col(value) * 9 / 5 + 32).otherwise(F.col(value))
-    once = df.withColumn("synthetic_fault", fault).withColumn(value, bad)
-    again = df.filter(turn % 11 == 0).withColumn("synthetic_fault", F.lit("duplicate"))
+    rate = EVERY | (every or {})
+    turn = F.col(entity) * 31 + (F.unix_date(day) if stamp is None else F.floor(F.unix_seconds(stamp) / 3600)) + seed
+    due = lambda name: turn % rate[name] == 0
+    names = ["null", *(u[0] for u in units.values()), *(["local_time"] if stamp is not None and zone is not None else [])]
+    fault = F.coalesce(*(F.when(due(n), n) for n in names), F.lit("none"))
+    once = df.withColumn("synthetic_fault", fault)
+    is_ = lambda name: F.col("synthetic_fault") == name
+    for column, (name, up, down, offset) in units.items():
+        once = once.withColumn(column, F.when(is_(name), F.col(column) * up / down + offset).otherwise(F.col(column)))
+    once = once.withColumn(value, F.when(~is_("null"), F.col(value)))
+    if "local_time" in names:
+        once = once.withColumn(stamp, F.when(is_("local_time"), F.from_utc_timestamp(stamp, F.col(zone))).otherwise(F.col(stamp)))
+    again = df.filter(due("duplicate")).withColumn("synthetic_fault", F.lit("duplicate"))
     return once.unionByName(again)
 
 

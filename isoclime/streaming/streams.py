@@ -37,11 +37,39 @@ def stream_hourly(events: DataFrame, path: str, checkpoint: str, **options: str)
     return writer.outputMode("append").trigger(availableNow=True).start()
 
 
-def _read(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The Parquet table at a path, or an empty one if nothing was written yet."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     there = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema(like.schema).parquet(path) if there else like.limit(0)
+    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+
+
+def upsert_batch(df: DataFrame, number: int, keys: Sequence[str], values: Sequence[str], ts: str, newest: str, bronze: str, late: str, marks: str, max_late_days: int = 7) -> None:
+    """One micro-batch of ``stream_upsert_silver``; run again with the same number it changes nothing.
+
+    The newest stamp before a batch is written down with its number before any row is, so a replay splits its rows
+    as the first run did, whichever of the two appends that one reached.
+    """
+    spark, kind = df.sparkSession, df.schema[ts].dataType
+    schema = StructType().add("batch", "long").add("mark", kind).add("newest", kind)
+    seen = _read(spark, marks, schema)
+    mine = seen.filter(F.col("batch") == number).select("mark").first()
+    if mine is None:
+        mark, top = seen.filter(F.col("batch") < number).agg(F.max("newest")).first()[0], df.agg(F.max(ts)).first()[0]
+        highest = max((x for x in (mark, top) if x is not None), default=None)
+        spark.createDataFrame([(number, mark, highest)], schema).coalesce(1).write.mode("append").parquet(marks)
+    else:
+        mark = mine["mark"]
+    limit = None if mark is None else F.lit(mark) - F.expr(f"INTERVAL '{max_late_days}' DAY")
+    old = F.lit(False) if limit is None else F.coalesce(F.col(ts) < limit, F.lit(False))
+    dated = df.withColumn("_day", F.to_date(ts))
+    have = _read(spark, bronze, dated.schema)
+    if limit is not None:
+        have = have.filter((F.col("_day") >= F.to_date(limit)) | F.col("_day").isNull())  # days a fresh row can fall on
+    same = list(dict.fromkeys([*values, newest, ts]))
+    same = [c for c in same if c not in keys]
+    new_rows(dated.filter(~old), have, keys, same).write.mode("append").partitionBy("_day").parquet(bronze)
+    new_rows(df.filter(old), _read(spark, late, df.schema), keys, same).write.mode("append").parquet(late)
 
 
 def stream_upsert_silver(
@@ -49,19 +77,11 @@ def stream_upsert_silver(
 ) -> StreamingQuery:
     """Append new versions to a bronze table in micro-batches; rows older than the newest stamp before the batch by ``max_late_days`` go aside.
 
-    A batch that is run again finds its rows there and adds nothing. Silver is ``silver_of`` the bronze table.
+    A version is a row that differs in keys, values or stamps. Bronze is stored by day (``_day``) and a batch reads only
+    the days its rows can fall on. A batch that is run again adds nothing. Silver is ``silver_of`` the bronze table.
     """
-
-    def batch(df: DataFrame, _: int) -> None:
-        spark = df.sparkSession
-        have = _read(spark, bronze, df)
-        mark = have.agg(F.max(ts)).first()[0]
-        old = F.lit(False) if mark is None else F.col(ts) < F.lit(mark) - F.expr(f"INTERVAL '{max_late_days}' DAY")
-        fresh = new_rows(df.filter(~old), have, keys, [*values, newest])
-        aside = new_rows(df.filter(old), _read(spark, late, df), keys, [*values, newest])
-        fresh.write.mode("append").parquet(bronze)
-        aside.write.mode("append").parquet(late)
-
+    marks = f"{checkpoint.rstrip('/')}-marks"
+    batch = lambda df, number: upsert_batch(df, number, keys, values, ts, newest, bronze, late, marks, max_late_days)
     return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 

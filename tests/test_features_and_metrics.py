@@ -3,10 +3,12 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from isoclime.operators import checks
+from isoclime.operators import climatology as clim
 from isoclime.operators import evaluation as ev
 from isoclime.operators import features as ft
 from isoclime.operators import model as ml
 from isoclime.operators import star
+from isoclime.operators.running import running
 
 DAY = dt.date(2000, 1, 1)
 
@@ -31,7 +33,27 @@ def test_label_excludes_today_and_is_null_without_a_future(spark):
 def test_future_rows_leave_features_alone(spark):
     cities = spark.createDataFrame([(1, 10.0, 5.0)], "city_id int, latitude double, elevation double")
     daily = days(spark, range(60), {40}).withColumn("surface_pressure", F.col("temp_mean"))
-    assert ft.point_in_time_audit(daily, daily, cities, "2000-02-01").count() == 0
+    assert ft.point_in_time_audit(daily, lambda rows: rows, cities, "2000-02-01").count() == 0
+
+
+def test_audit_reports_baselines_that_look_ahead(spark):
+    rows = [(1, dt.date(y, 3, d), float(d * y % 17 + y % 3), 0.0) for y in range(2001, 2007) for d in range(1, 29)]
+    daily = spark.createDataFrame(rows, "city_id int, obs_date date, temp_mean double, surface_pressure double")
+    cities = spark.createDataFrame([(1, 10.0, 5.0)], "city_id int, latitude double, elevation double")
+    leaking = ft.point_in_time_audit(daily, lambda d: clim.anomalies(d, pooling="pooled"), cities, "2003-03-15")
+    assert {"z_now", "z_last"} <= {r.feature for r in leaking.collect()}
+    strict = ft.point_in_time_audit(daily, lambda d: clim.anomalies(d, pooling="pooled", reference_years=[2001, 2002]), cities, "2003-03-15")
+    assert strict.collect() == []
+
+
+def test_running_sums_equal_plain_ones(spark):
+    rows = [(i % 3, (i * 37) % 101, i % 5) for i in range(101)]
+    df = spark.createDataFrame(rows, "g int, k int, x int")
+    got = {(r.g, r.k): r.total for r in running(df, [F.desc("k")], {"total": "x"}, ["g"]).collect()}
+    assert got == {(g, k): sum(x for h, m, x in rows if h == g and m >= k) for g, k, _ in rows}
+    got = {r.k: r.total for r in running(df, [F.asc("k")], {"total": "x"}).collect()}
+    assert got == {k: sum(x for _, m, x in rows if m <= k) for _, k, _ in rows}
+    assert running(df.limit(0), [F.asc("k")], {"total": "x"}).collect() == []
 
 
 def test_split_purges_labels_across_boundaries(spark):
