@@ -108,14 +108,17 @@ def mean_importance(phi: DataFrame) -> DataFrame:
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, columns: Sequence[str], features: Sequence[str] = FEATURES, seed: int = SEED) -> DataFrame:
-    """feature, drop in average precision when its values change places among all rows; rows are numbered range by range."""
+    """feature, drop in average precision when its values change places among all rows.
+
+    Rows are numbered range by range, and all features are moved, scored and measured in the same jobs.
+    """
     base = df.filter("label IS NOT NULL").withColumn("_one", F.lit(1))
     base = running(base, [F.col("city_id"), F.col("obs_date")], {"_i": "_one"})
-    known = pr_auc(scored(model, base, features)).first()["average_precision"]
-    out = []
-    for c in columns:
-        spot = F.xxhash64(F.lit(seed), F.lit(c), "_i")
-        other = running(base.select("_i", "_one", F.col(c).alias("_v")), [spot, F.col("_i")], {"_j": "_one"})
-        mixed = base.join(other.select(F.col("_j").alias("_i"), "_v"), "_i").withColumn(c, F.col("_v")).drop("_v")
-        out.append((c, known - pr_auc(scored(model, mixed, features)).first()["average_precision"]))
-    return df.sparkSession.createDataFrame(out, "feature string, importance double")
+    known = pr_auc(scored(model, base, features)).select(F.col("average_precision").alias("_known"))
+    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("_v")) for c in columns)))
+    long = base.select("_i", "_one", cells.alias("_c")).select("_i", "_one", "_c.feature", "_c._v")
+    spot = F.xxhash64(F.lit(seed), "feature", "_i")
+    moved = running(long, [spot, F.col("_i")], {"_j": "_one"}, ["feature"]).select("feature", F.col("_j").alias("_i"), "_v")
+    mixed = base.join(moved, "_i").withColumns({c: F.when(F.col("feature") == c, F.col("_v")).otherwise(F.col(c)) for c in columns})
+    after = pr_auc(scored(model, mixed, features), by=["feature"])
+    return after.join(F.broadcast(known)).select("feature", (F.col("_known") - F.col("average_precision")).alias("importance"))  # known: one row
