@@ -8,8 +8,9 @@
    fill shards of about ``SHARD_BYTES``. Each shard's suffix array is built by induced sorting; adjacent
    suffixes whose permuted common prefix reaches ``length``, or that stand for several copies, are repeats.
 4. A group larger than a shard (a passage in a large share of all documents, with as many different
-   surroundings) is dealt over chunks instead; chunks exchange the digests of their distinct windows in
-   buckets and learn which occur elsewhere. No group is ever in one task.
+   surroundings) is dealt over chunks. Each chunk's suffix array tells its distinct windows; chunks exchange
+   one digest for each in buckets and learn which occur elsewhere. No group is ever in one task; a window that
+   stands in every chunk adds 17 bytes for each MB of segments to one bucket.
 5. Repeated intervals go back to their texts, and per-text results to the documents.
 
 Matches are exact: hashes only route. Step 4 takes equal 128-bit BLAKE2 digests for equal windows, and equal
@@ -112,8 +113,11 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def repeated_windows(parts: list[bytes], weights: list[int], length: int) -> list[np.ndarray]:
-    """For each distinct segment, which of its windows occur twice or more among all, weights counted: boolean arrays."""
+def window_classes(parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By suffix array: (classes, starts, sizes) of the parts joined by one byte each.
+
+    classes has a number for each place where a whole window starts, the same for equal windows, else -1.
+    """
     sizes = np.array([len(p) for p in parts], np.int64)
     starts = np.cumsum(sizes + 1) - sizes - 1
     text = np.ones(int((sizes + 1).sum()) + 1, np.int16)  # 1 parts segments, 0 ends all
@@ -124,10 +128,24 @@ def repeated_windows(parts: list[bytes], weights: list[int], length: int) -> lis
     alike = permuted_lcp(text, sa)[sa] >= length  # with the suffix before it
     of = np.searchsorted(starts, sa, side="right") - 1
     whole = (sa + length <= starts[of] + sizes[of]) & (sa < len(text) - 1)
-    group = np.cumsum(~alike)
-    weight = np.bincount(group, weights=np.where(whole, np.array(weights, np.float64)[of], 0))
-    repeated = np.zeros(len(text), bool)
-    repeated[sa] = whole & (weight[group] >= 2)
+    classes = np.full(len(text), -1, np.int64)
+    classes[sa[whole]] = np.cumsum(~alike)[whole]
+    return classes, starts, sizes
+
+
+def class_weights(classes: np.ndarray, starts: np.ndarray, weights: list[int]) -> np.ndarray:
+    """The weights of each class' windows, summed."""
+    at = np.flatnonzero(classes >= 0)
+    return np.bincount(classes[at], weights=np.array(weights, np.float64)[np.searchsorted(starts, at, side="right") - 1])
+
+
+def repeated_windows(parts: list[bytes], weights: list[int], length: int) -> list[np.ndarray]:
+    """For each distinct segment, which of its windows occur twice or more among all, weights counted: boolean arrays."""
+    classes, starts, sizes = window_classes(parts, length)
+    weight = class_weights(classes, starts, weights)
+    repeated = np.zeros(len(classes), bool)
+    at = classes >= 0
+    repeated[at] = weight[classes[at]] >= 2
     return [repeated[s : s + max(n - length + 1, 0)] for s, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
 
 
@@ -215,10 +233,14 @@ def _dealt(large: DataFrame, length: int, chunk_bytes: int, bucket_windows: int)
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for chunk, weights, parts in zip(*(b.column(i).to_pylist() for i in (0, 3, 4)), strict=True):
-                digests = _digests(parts, length)
-                own = np.repeat(np.array(weights, np.float64), [max(len(p) - length + 1, 0) for p in parts])
-                unique, inverse = np.unique(digests, return_inverse=True)
-                sums = np.minimum(np.bincount(inverse, weights=own), 2).astype(np.int8)
+                classes, starts, _ = window_classes(parts, length)
+                each, first = np.unique(classes, return_index=True)
+                each, first = each[each >= 0], first[each >= 0]
+                if not len(each):
+                    continue
+                joined = b"\0".join(parts)
+                unique = _digests([joined[i : i + length] for i in first.tolist()], length)
+                sums = np.minimum(class_weights(classes, starts, weights)[each], 2).astype(np.int8)
                 bucket = unique.view(np.uint64)[::2] % np.uint64(buckets)
                 for k in np.unique(bucket):
                     at = bucket == k
@@ -246,7 +268,7 @@ def _dealt(large: DataFrame, length: int, chunk_bytes: int, bucket_windows: int)
 
     asked = chunks.mapInArrow(ask, "bucket long, chunk long, digests binary, sums binary")
     told = asked.groupBy("bucket").applyInArrow(answer, "chunk long, repeated binary")
-    told = told.groupBy("chunk").agg(F.collect_list("repeated").alias("repeated"))
+    told = told.groupBy("chunk").agg(F.collect_list("repeated").alias("repeated"))  # no more than a chunk's own windows
     return chunks.select("chunk", "sids", "bases", "parts").join(told, "chunk").select("sids", "bases", "parts", "repeated").mapInArrow(settle, SPANS)
 
 
