@@ -64,3 +64,14 @@ def test_shards_are_contiguous_and_even(spark):
 def test_one_row_and_more_shards_than_rows(spark):
     df = spark.createDataFrame([(5, "abc")], "doc_id long, text string")
     assert [(r.shard, r.slot) for r in sharding.shard_by_bytes(df, 40).collect()] == [(20, 0)]
+
+
+def test_a_text_that_is_a_third_of_all_rows_leaves_shards_even(spark):
+    rows = [(i, "the same text again" if i % 3 == 0 else f"text {i} " + "x" * (i % 40)) for i in range(900)]
+    got = sharding.shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string"), 9).collect()
+    sums, copies = {}, set()
+    for r in got:
+        sums[r.shard] = sums.get(r.shard, 0) + r.size
+        if r.doc_id % 3 == 0:
+            copies.add(r.shard)
+    assert max(sums.values()) - min(sums.values()) <= 2 * max(r.size for r in got) and copies == set(range(9))
