@@ -2,12 +2,15 @@
 
 Suffixes are classified as S (smaller than the next) or L; the leftmost S suffixes of each run (LMS) are
 sorted by the substrings between them, named, and where names repeat the reduced string of names is sorted
-in turn by naming spans of doubled length. The order of all other suffixes is then induced bucket by
-bucket: what a bucket contributes to later ones is one stable scatter.
+in turn by the same steps (of names that occur once only those that end a repeated run are kept). The order of all other suffixes is then induced bucket by bucket: over bytes, what
+a bucket contributes to later ones is one stable scatter; over names, whose buckets are many and small, each
+suffix places its predecessor.
 """
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 
 
@@ -32,7 +35,7 @@ def _scatter(t: np.ndarray, at: np.ndarray, buckets: list[list[np.ndarray]]) ->
 
 
 def _induce(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, sigma: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """L and S suffixes by bucket, each in order, from LMS suffixes given in order (or in any order, for LMS substrings)."""
+    """L and S suffixes by bucket, each in order, from LMS suffixes given in order."""
     none = np.zeros(0, np.int32)
     seeds: list[list[np.ndarray]] = [[] for _ in range(sigma)]
     _scatter(t, lms, seeds)
@@ -72,67 +75,98 @@ def _induce(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, sigma: int) -> tup
     return large, small
 
 
-def _name(t: np.ndarray, order: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Names (from 0, equal for equal substrings) of LMS substrings t[i..ends[i]] given in order."""
-    a, b = order[:-1], order[1:]
-    la, lb = ends[:-1] - a, ends[1:] - b
-    same = la == lb
-    live, step = np.flatnonzero(same), 0
-    while len(live):
-        equal = t[a[live] + step] == t[b[live] + step]
-        same[live[~equal]] = False
-        step += 1
-        live = live[equal & (la[live] >= step)]
-    return np.concatenate(([0], np.cumsum(~same)))
-
-
-def _sort_names(names: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string of names by naming spans of 1, 2, 4, ... until all differ."""
-    n = len(names)
-    rank, span = names.astype(np.int64), 1
-    order = np.argsort(rank)
+def _sort_substrings(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, names in that order) of the LMS substrings, each up to the next LMS suffix: names are equal for equal ones.
+
+    Symbols count with their types, L below S, so no substring is another's prefix. A word of symbols at a step,
+    for those that aren't told apart yet.
+    """
+    pairs = 2 * t.astype(np.int64) + is_s
+    bits = int(pairs.max()).bit_length()
+    per = 63 // bits
+    pairs = np.concatenate((pairs, np.zeros(per, np.int64)))
+    ends = np.append(lms[1:], lms[-1])
+
+    def words(at: np.ndarray, end: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(at), np.int64)
+        for k in range(per):
+            out = (out << bits) | np.where(at + k <= end, pairs[np.minimum(at + k, len(t))], 0)
+        return out
+
+    first = words(lms, ends)
+    order = np.argsort(first, kind="stable")
+    key = first[order]
+    fresh = np.concatenate(([True], key[1:] != key[:-1]))
+    depth, places = per, np.arange(len(lms))
     while True:
-        sorted_rank = rank[order]
-        fresh = np.concatenate(([True], sorted_rank[1:] != sorted_rank[:-1]))
-        heads = np.flatnonzero(fresh)
-        sizes = np.diff(np.concatenate((heads, [n])))
-        rank[order] = np.repeat(heads, sizes)  # a group's rank is its first place
-        open_ = np.repeat(sizes > 1, sizes)
-        if not open_.any():
-            return order
-        places = np.flatnonzero(open_)
+        group = np.cumsum(fresh[places])  # places are whole groups
+        several = np.bincount(group)[group] > 1
+        places, group = places[several], group[several]
+        going = lms[order[places]] + depth <= ends[order[places]]  # alike so far, so of a group all go on or none
+        places, group = places[going], group[going]
+        if not len(places):
+            return order, np.cumsum(fresh) - 1
         who = order[places]
-        nxt = np.where(who + span < n, rank[np.minimum(who + span, n - 1)] + 1, 0)
-        inner = np.argsort(rank[who] * (n + 1) + nxt)
-        order[places] = who[inner]
-        nxt = nxt[inner]
-        group = rank[order[places]]
-        new = np.concatenate(([True], (group[1:] != group[:-1]) | (nxt[1:] != nxt[:-1])))
-        rank[order[places]] = places[np.maximum.accumulate(np.where(new, np.arange(len(places)), 0))]
-        span *= 2
+        key = words(lms[who] + depth, ends[who])
+        inner = np.lexsort((key, group))
+        order[places], key = who[inner], key[inner]
+        fresh[places[1:]] |= key[1:] != key[:-1]
+        depth += per
+
+
+def _induce_each(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray) -> np.ndarray:
+    """All suffixes in order, from LMS suffixes in order: one step a suffix."""
+    n = len(t)
+    sizes = np.bincount(t)
+    ends = np.cumsum(sizes)
+    symbols = t[lms]
+    by_symbol = np.argsort(symbols, kind="stable")
+    left = np.bincount(symbols, minlength=len(sizes))
+    place = np.arange(len(lms)) - np.repeat(np.cumsum(left) - left, left)
+    seeded = np.full(n, n, np.int64)  # n: no suffix yet
+    seeded[np.repeat(ends - left, left) + place] = lms[by_symbol]
+    # the symbol before each suffix where that makes an L (or S) suffix, else -1; none before 0 and n
+    to_l, to_s = (np.concatenate(([-1], np.where(is_s[:-1] == s, t[:-1], -1), [-1])) for s in (False, True))
+    to_l, to_s, sa, head, tail = (array("i", x.astype(np.int32).tobytes()) for x in (to_l, to_s, seeded, ends - sizes, ends - 1))
+    for i in sa:  # grows to the right of where it is read
+        c = to_l[i]
+        if c >= 0:
+            h = head[c]
+            sa[h] = i - 1
+            head[c] = h + 1
+    for i in reversed(sa):
+        c = to_s[i]
+        if c >= 0:
+            h = tail[c]
+            sa[h] = i - 1
+            tail[c] = h - 1
+    return np.frombuffer(sa, np.int32)
+
+
+def _sorted_lms(t: np.ndarray, is_s: np.ndarray) -> np.ndarray:
+    """LMS suffixes in order: their substrings are sorted and named, and a string with repeated names is sorted in turn."""
+    lms = (np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1).astype(np.int32)
+    order, named = _sort_substrings(t, is_s, lms)
+    if named[-1] + 1 == len(lms):
+        return lms[order]
+    names = np.zeros(len(lms), np.int64)
+    names[order] = named
+    repeated = np.bincount(named)[names] > 1
+    # comparisons end at a name that occurs once, so what follows one can't matter before the next repeated name
+    kept = np.flatnonzero(repeated | np.concatenate(([False], repeated[:-1])))
+    own = np.concatenate((np.unique(names[kept], return_inverse=True)[1] + 1, [0]))
+    is_s = _types(own)
+    of = kept[_induce_each(own, is_s, _sorted_lms(own, is_s))[1:]]
+    order[np.flatnonzero(repeated[order])] = of[repeated[of]]
+    return lms[order]
 
 
 def suffix_array(t: np.ndarray, sigma: int) -> np.ndarray:
     """Suffix array of t: symbols 1..sigma-1 followed by one final 0."""
-    n = len(t)
-    if n == 1:
+    if len(t) == 1:
         return np.zeros(1, np.int32)
     is_s = _types(t)
-    lms = (np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1).astype(np.int32)
-    if len(lms) > 1:
-        _, small = _induce(t, is_s, lms, sigma)
-        order = np.concatenate(small)
-        mark = np.zeros(n, bool)
-        mark[lms] = True
-        order = order[mark[order]]
-        index = np.zeros(n, np.int32)
-        index[lms] = np.arange(len(lms))
-        ends = np.append(lms[1:], lms[-1])
-        names = np.zeros(len(lms), np.int64)
-        named = _name(t, order, ends[index[order]])
-        names[index[order]] = named
-        lms = order if named[-1] + 1 == len(lms) else lms[_sort_names(names)]
-    large, small = _induce(t, is_s, lms, sigma)
+    large, small = _induce(t, is_s, _sorted_lms(t, is_s), sigma)
     return np.concatenate([part for c in range(sigma) for part in (large[c], small[c])])
 
 

@@ -29,3 +29,19 @@ def test_small_alphabets_and_repeats():
     unit = bytes(rng.choices(b"abcdefgh ", k=90))
     check(unit + b"x" + unit + b"y" + unit[10:])
     check(b"mississippi" * 3 + bytes(range(200)))
+
+
+def test_names_repeat_on_several_levels():
+    rng = random.Random(6)
+    text = b"abcab"
+    for _ in range(5):  # repeats within repeats
+        text = text + bytes(rng.choices(b"abc", k=3)) + text + bytes(rng.choices(b"abc", k=2)) + text[: len(text) // 2]
+    check(text)
+    check(text + bytes(rng.choices(b"abcdefgh", k=300)) + text[50:250])
+    for size in (2, 3, 20):
+        check(bytes(rng.choices(range(1, 1 + size), k=1500)))
+    check((b"a" * 70 + b"b") * 12 + b"a" * 71)
+    a, b = b"a", b"ab"
+    while len(b) < 1200:  # Fibonacci words
+        a, b = b, b + a
+    check(b)
