@@ -9,8 +9,9 @@
    suffixes whose permuted common prefix reaches ``length``, or that stand for several copies, are repeats.
 4. A group larger than a shard (a passage in a large share of all documents, with as many different
    surroundings) is dealt over chunks. Each chunk's suffix array tells its distinct windows; chunks exchange
-   one digest for each in buckets and learn which occur elsewhere. No group is ever in one task; a window that
-   stands in every chunk adds 17 bytes for each MB of segments to one bucket.
+   one digest for each in buckets and learn which occur elsewhere. No group is ever in one task. A bucket is
+   split by chunk into slices, which are merged first: a window that stands in every chunk adds 17 bytes a
+   chunk to slices of about ``SLICE_CHUNKS`` chunks, then 17 bytes a slice to its bucket.
 5. Repeated intervals go back to their texts, and per-text results to the documents.
 
 Matches are exact: hashes only route. Step 4 takes equal 128-bit BLAKE2 digests for equal windows, and equal
@@ -33,7 +34,7 @@ from ..session import scratch_table
 from .common import materialize, partitions, table
 from .suffix_array import permuted_lcp, suffix_array
 
-LENGTH, GRAM, SHARD_BYTES, CHUNK_BYTES, BUCKET_WINDOWS = 200, 40, 1 << 20, 1 << 20, 1 << 18
+LENGTH, GRAM, SHARD_BYTES, CHUNK_BYTES, BUCKET_WINDOWS, SLICE_CHUNKS = 200, 40, 1 << 20, 1 << 20, 1 << 18, 1 << 10
 #: An odd number and its inverse modulo 2**64, and two odd multipliers that mix bits.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -203,7 +204,7 @@ def _digests(parts: list[bytes], length: int) -> np.ndarray:
     return np.frombuffer(bytes(out), "V16")
 
 
-def _dealt(large: DataFrame, length: int, chunk_bytes: int, bucket_windows: int) -> DataFrame:
+def _dealt(large: DataFrame, length: int, chunk_bytes: int, bucket_windows: int, slice_chunks: int) -> DataFrame:
     """Spans of segments of groups beyond a shard, by exchanging the digests of windows between chunks."""
 
     def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,8 +228,8 @@ def _dealt(large: DataFrame, length: int, chunk_bytes: int, bucket_windows: int)
 
     chunks = large.select("sid", "weight", "part").repartition(partitions(large.sparkSession))
     chunks = materialize(chunks.mapInArrow(chunked, "chunk long, sids array<binary>, bases array<long>, weights array<long>, parts array<binary>"), "chunks")
-    total = chunks.agg(F.sum(F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + F.octet_length(p)))).first()[0]
-    buckets = 1 + (total or 0) // bucket_windows
+    total, n = chunks.agg(F.sum(F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + F.octet_length(p))), F.count("*")).first()
+    buckets, slices = 1 + (total or 0) // bucket_windows, 1 + n // slice_chunks
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -249,15 +250,28 @@ def _dealt(large: DataFrame, length: int, chunk_bytes: int, bucket_windows: int)
                         ["bucket", "chunk", "digests", "sums"],
                     )
 
-    def answer(rows: pa.Table) -> pa.Table:
-        rows = rows.to_pylist()
-        each = [np.frombuffer(r["digests"], "V16") for r in rows]
-        sums = np.concatenate([np.frombuffer(r["sums"], np.int8) for r in rows])
+    def counted(rows: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+        """Each row's digests, and for all of them whether they stand for two windows or more."""
+        each = [np.frombuffer(d, "V16") for d in rows.column("digests").to_pylist()]
+        sums = np.concatenate([np.frombuffer(x, np.int8) for x in rows.column("sums").to_pylist()])
         _, inverse = np.unique(np.concatenate(each), return_inverse=True)
-        twice = np.bincount(inverse, weights=sums)[inverse] >= 2
-        cuts = list(accumulate(map(len, each)))[:-1]
-        told = [own[flag].tobytes() for own, flag in zip(each, np.split(twice, cuts), strict=True)]
-        return pa.table({"chunk": [r["chunk"] for r in rows], "repeated": pa.array(told, pa.binary())})
+        return each, np.bincount(inverse, weights=sums)[inverse] >= 2
+
+    def merge(rows: pa.Table) -> pa.Table:
+        each, twice = counted(rows)
+        unique, first = np.unique(np.concatenate(each), return_index=True)
+        sums = np.where(twice[first], 2, 1).astype(np.int8)
+        return pa.table([rows.column("bucket")[:1], rows.column("slice")[:1], pa.array([unique.tobytes()]), pa.array([sums.tobytes()])], ["bucket", "slice", "digests", "sums"])
+
+    def answer(rows: pa.Table) -> pa.Table:
+        each, twice = counted(rows)
+        told = [own[flag].tobytes() for own, flag in zip(each, np.split(twice, list(accumulate(map(len, each)))[:-1]), strict=True)]
+        return pa.table([rows.column("bucket"), rows.column("slice"), pa.array(told, pa.binary())], ["bucket", "slice", "repeated"])
+
+    def tell(rows: pa.Table, told: pa.Table) -> pa.Table:
+        repeated = np.frombuffer(b"".join(told.column("repeated").to_pylist()), "V16")
+        each = [np.frombuffer(d, "V16") for d in rows.column("digests").to_pylist()]
+        return pa.table([rows.column("chunk"), pa.array([own[np.isin(own, repeated)].tobytes() for own in each], pa.binary())], ["chunk", "repeated"])
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -267,7 +281,10 @@ def _dealt(large: DataFrame, length: int, chunk_bytes: int, bucket_windows: int)
                 yield _spans(list(zip(sids, bases, np.split(flags, cuts), strict=True)))
 
     asked = chunks.mapInArrow(ask, "bucket long, chunk long, digests binary, sums binary")
-    told = asked.groupBy("bucket").applyInArrow(answer, "chunk long, repeated binary")
+    asked = materialize(asked.withColumn("slice", F.pmod(F.xxhash64("chunk"), F.lit(slices))), "digests")
+    merged = asked.groupBy("bucket", "slice").applyInArrow(merge, "bucket long, slice long, digests binary, sums binary")
+    told = merged.groupBy("bucket").applyInArrow(answer, "bucket long, slice long, repeated binary")
+    told = asked.groupBy("bucket", "slice").cogroup(told.groupBy("bucket", "slice")).applyInArrow(tell, "chunk long, repeated binary")
     told = told.groupBy("chunk").agg(F.collect_list("repeated").alias("repeated"))  # no more than a chunk's own windows
     return chunks.select("chunk", "sids", "bases", "parts").join(told, "chunk").select("sids", "bases", "parts", "repeated").mapInArrow(settle, SPANS)
 
@@ -289,6 +306,7 @@ def remove_repeats(
     shard_bytes: int = SHARD_BYTES,
     chunk_bytes: int = CHUNK_BYTES,
     bucket_windows: int = BUCKET_WINDOWS,
+    slice_chunks: int = SLICE_CHUNKS,
 ) -> DataFrame:
     """One row per input row: ``key``, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes).
 
@@ -371,7 +389,7 @@ def remove_repeats(
         spans = materialize(_sharded(distinct, length, shard_bytes), "spans")
     else:
         spans = _sharded(distinct.join(large, "h", "left_anti"), length, shard_bytes)
-        spans = materialize(spans.unionByName(_dealt(distinct.join(large, "h", "left_semi"), length, chunk_bytes, bucket_windows)), "spans")
+        spans = materialize(spans.unionByName(_dealt(distinct.join(large, "h", "left_semi"), length, chunk_bytes, bucket_windows, slice_chunks)), "spans")
     placed = cuts.select("sid", "tid", "sha", "at").join(spans, "sid")
     placed = placed.select("tid", "sha", "at", F.explode(F.arrays_zip("first", "last")).alias("s"))
     span = F.struct("sha", (F.col("at") + F.col("s.first")).alias("first"), (F.col("at") + F.col("s.last")).alias("last"))

@@ -2,7 +2,8 @@
 
 Suffixes are classified as S (smaller than the next) or L; the leftmost S suffixes of each run (LMS) are
 sorted by the substrings between them, named, and where names repeat the reduced string of names is sorted
-in turn by the same steps (of names that occur once only those that end a repeated run are kept). The order of all other suffixes is then induced bucket by bucket: over bytes, what
+in turn by the same steps (of names that occur once only those that end a repeated run are kept). The order
+of all other suffixes is then induced bucket by bucket: over bytes, what
 a bucket contributes to later ones is one stable scatter; over names, whose buckets are many and small, each
 suffix places its predecessor.
 """

@@ -37,8 +37,8 @@ def test_matches_brute_force(spark):
     texts = corpus(1)
     want = sorted((i, *r) for i, r in enumerate(brute(texts, 40)))
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, sha string, n int")
-    for shard in (1 << 20, 2000, 300):  # small shards send large groups to the chunks
-        got = remove_repeats(df, length=40, gram=12, shard_bytes=shard, chunk_bytes=700, bucket_windows=500)
+    for shard, slice_chunks in ((1 << 20, 1), (2000, 1 << 10), (300, 2)):  # small shards send large groups to the chunks
+        got = remove_repeats(df, length=40, gram=12, shard_bytes=shard, chunk_bytes=700, bucket_windows=500, slice_chunks=slice_chunks)
         assert sorted(map(tuple, got.drop("kept").collect())) == want
 
 
