@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import materialize, partitions, table
+from .common import materialize, partitions, sliced, table
 
 PER_LANGUAGE = 300
 ORDERS = ((1, 8), (2, 12), (3, 13))  # n-gram length, bits of its part of the profile
@@ -116,7 +116,7 @@ def sample(labelled: DataFrame, text: str, lang: str, key: str, per_language: in
     rows = rows.orderBy("spot", "lang").limit(int(1.5 * per_language) * len(counts))
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             xs = [profile(t) for t in b.column(2).to_pylist()]
             at = [np.flatnonzero(x) for x in xs]
             yield pa.RecordBatch.from_arrays(
@@ -174,7 +174,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", lang_pre
     names, at = [*held.columns, lang_pred, score], held.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             got = shared.value.predict(b.column(at).to_pylist())
             extra = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
             yield pa.RecordBatch.from_arrays([*b.columns, *extra], names)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions, table
+from .common import materialize, partitions, sliced, table
 from .components import components
 
 SHINGLE_WORDS, MAX_BITS, CROWD = 4, 4, 1 << 14
@@ -92,7 +92,7 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", words
     names = names_of(width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             fps = np.array([wide_fingerprint(t, words_per_shingle, width) for t in b.column(1).to_pylist()], np.uint64).reshape(-1, width)
             yield pa.RecordBatch.from_arrays([b.column(0), *_columns(fps)], ["key", *names])
 
@@ -387,7 +387,7 @@ def jaccard_components(
     kind = src.schema["key"].dataType.simpleString()
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             nodes, sizes, bands, fps = [], [], [], []
             for t in b.column(1).to_pylist():
                 hashes = shingle_hashes(t, words_per_shingle)
@@ -417,7 +417,7 @@ def jaccard_components(
     shared = spark.sparkContext.broadcast(bits)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             # bitmap buckets count from 1: bucket k + 1 holds k * 32768 + 1 .. (k + 1) * 32768; spot 0 is in none and always let through
             spots = b.column(0).to_numpy(zero_copy_only=False) - 1
             held = (spots < 0) | (shared.value[spots >> 3] >> (spots & 7) & 1 > 0)
