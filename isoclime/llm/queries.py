@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, licenses, mixing, packing, repeats, sharding, simhash, topk, warc
+from . import exact_dedup, language, licenses, mixing, packing, repeats, sharding, simhash, token_counts, topk, warc
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_curriculum_mix": mixing.op8_curriculum_mix,
         "op9_byte_shards": sharding.op9_byte_shards,
         "op10_bit_sliced_topk": topk.op10_bit_sliced_topk,
+        "op11_token_counts": token_counts.op11_token_counts,
     }
 
 
