@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, licenses, mixing, packing, repeats, sharding, simhash, token_counts, topk, warc
+from . import exact_dedup, language, licenses, mixing, packing, repeats, runs, sharding, simhash, token_counts, topk, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_byte_shards": sharding.op9_byte_shards,
         "op10_bit_sliced_topk": topk.op10_bit_sliced_topk,
         "op11_token_counts": token_counts.op11_token_counts,
+        "op12_periodic_runs": runs.op12_periodic_runs,
     }
 
 
