@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, licenses, mixing, packing, repeats, runs, sharding, simhash, token_counts, topk, warc
+from . import exact_dedup, language, licenses, mixing, packing, phrases, repeats, runs, sharding, simhash, token_counts, topk, warc
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_bit_sliced_topk": topk.op10_bit_sliced_topk,
         "op11_token_counts": token_counts.op11_token_counts,
         "op12_periodic_runs": runs.op12_periodic_runs,
+        "op13_collocations": phrases.op13_collocations,
     }
 
 
@@ -28,4 +29,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_exact_dedup": exact_dedup.ORACLE,
         "op8_curriculum_mix": mixing.ORACLE,
         "op10_bit_sliced_topk": topk.ORACLE,
+        "op13_collocations": phrases.ORACLE,
     }
