@@ -12,6 +12,7 @@ from isoclime.operators import features as ft
 from isoclime.operators import model as ml
 from isoclime.operators.cleaning import dedup_latest
 from isoclime.operators.star import dim_cities
+from isoclime.operators.tree_shapley import tree_shapley
 from isoclime.plans import views
 from isoclime.plans.queries_base import r
 from isoclime.session import scratch
@@ -549,15 +550,6 @@ def f10_model(spark: SparkSession, d: str) -> DataFrame:
     return metrics.join(F.broadcast(verdict)).select("model", "split", "metric", r("value"), "beats")
 
 
-BACKGROUND = 16
-
-
-def background(rows: DataFrame, n: int = BACKGROUND) -> DataFrame:
-    """Training rows chosen by a seeded hash of city and date, so spread over both."""
-    spot = F.xxhash64(F.lit(ml.SEED), "city_id", "obs_date")
-    return rows.filter("split = 'train'").orderBy(spot, "city_id", "obs_date").limit(n)
-
-
 @query("f3_train_predict")
 def f3(spark: SparkSession, d: str) -> DataFrame:
     rows = saved_features(spark, d)
@@ -566,9 +558,11 @@ def f3(spark: SparkSession, d: str) -> DataFrame:
 
 @query("f11_shapley_importance")
 def f11(spark: SparkSession, d: str) -> DataFrame:
+    """Every test row explained exactly against all training rows."""
     rows = saved_features(spark, d)
-    model = ml.train(rows.filter("split = 'train'"))
-    return ml.mean_importance(ml.shapley_importance(model, rows.filter("split = 'test'"), background(rows), 2)).select("feature", r("importance", 6))
+    train = rows.filter("split = 'train'")
+    phi = tree_shapley(ml.train(train), rows.filter("split = 'test'"), train, ft.FEATURES)
+    return ml.mean_importance(phi).select("feature", r("importance", 6))
 
 
 @query("f12_permutation_importance")

@@ -8,13 +8,10 @@ def test_importance_reads_all_rows_and_features(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(qc, "saved_features", lambda *_: rows)
     monkeypatch.setattr(ml, "train", lambda df, **options: trained.append(options))
     empty = spark.createDataFrame([], "row_id int, feature string, phi double")
-    monkeypatch.setattr(ml, "shapley_importance", lambda m, df, back, *_: seen.update(test=df, back=back) or empty)
+    monkeypatch.setattr(qc, "tree_shapley", lambda m, df, back, features: seen.update(test=df, train=back, features=features) or empty)
     monkeypatch.setattr(ml, "permutation_importance", lambda m, df, columns: seen.update(validate=df, columns=columns) or empty)
     qc.f11(spark, sf_dir)
     qc.f12(spark, sf_dir)
-    for split in ("test", "validate"):
+    for split in ("test", "train", "validate"):
         assert seen[split].count() == rows.filter(f"split = '{split}'").count() > 0
-    assert list(seen["columns"]) == list(ft.FEATURES) and trained == [{}, {}]
-    back = seen["back"].select("city_id", "obs_date", "split").collect()
-    assert len(back) == qc.BACKGROUND and {r.split for r in back} == {"train"}
-    assert len({r.city_id for r in back}) > 3 and len({r.obs_date for r in back}) > 3
+    assert list(seen["columns"]) == list(seen["features"]) == list(ft.FEATURES) and trained == [{}, {}]
