@@ -23,6 +23,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .common import table
 
@@ -57,6 +58,19 @@ def encoder(path: str) -> tiktoken.Encoding:
     return _encoders[path]
 
 
+_plain: dict[str, Tokenizer] = {}
+
+
+def encode(path: str, text: str) -> np.ndarray:
+    """The ids of a text; where its longest run of white space exceeds what the faster library can match, by the file's own library."""
+    try:
+        return encoder(path).encode_to_numpy(text, allowed_special="all")
+    except ValueError:  # its regular expression runs out of room, from about a million blanks or line breaks on
+        if path not in _plain:
+            _plain[path] = Tokenizer.from_file(path)
+        return np.array(_plain[path].encode(text, add_special_tokens=False).ids, np.uint32)
+
+
 class CapacityTree:
     """Open windows by remaining capacity; ``tightest(n)`` is the least capacity >= n that has one, or -1."""
 
@@ -160,7 +174,8 @@ def pack(
     A document is its text's ids (null: none) followed by ``end_id``; a special token written out in a text
     is that token. Every id is in exactly one piece and every sequence is gapless from offset 0, at most
     ``window`` long, and either full or a power of two. Repeated rows are documents of their own. Keys may
-    be null. Empty input gives an empty result; other columns are ignored. ``window`` is a power of two.
+    be null. Empty input gives an empty result; other columns are ignored. ``window`` is a power of two. Texts of any
+    length and runs of white space of any length are encoded; one text's ids are held at a time beside its group's.
     """
     path = tokenizer or default_tokenizer()
     src = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
@@ -189,12 +204,12 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal key_type
-        encode, base = encoder(path).encode_to_numpy, TaskContext.get().partitionId() << 33
+        base = TaskContext.get().partitionId() << 33
         keys, ids, held = [], [], 0
         for b in batches:
             key_type = b.schema.field(0).type
             for k, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                own = np.append(encode(t.as_py() or "", allowed_special="all"), np.uint32(end_id)).astype("<u4")
+                own = np.append(encode(path, t.as_py() or ""), np.uint32(end_id)).astype("<u4")
                 keys.append(k)
                 ids.append(own)
                 held += len(own)
