@@ -71,7 +71,11 @@ def _finish(n: Column, s: Column, q: Column) -> list[Column]:
 
 def pooled_normals(obs: DataFrame, value: str = "temp_mean", half: int = HALF, years: Sequence[int] | None = None) -> DataFrame:
     """mu and sigma of all samples within +-half slots."""
-    parts = partials(obs, value)
+    return pooled_of(partials(obs, value), half, years)
+
+
+def pooled_of(parts: DataFrame, half: int = HALF, years: Sequence[int] | None = None) -> DataFrame:
+    """``pooled_normals`` from partial sums, however they came about (``normals_mart`` stores them)."""
     if years is not None:
         parts = parts.filter(F.col("year").isin(list(years)))
     total = window_partials(parts, half).groupBy("city_id", "slot")
@@ -86,7 +90,11 @@ def loyo_normals(obs: DataFrame, value: str = "temp_mean", half: int = HALF, poo
     least) and averages them by their counts. ``reference_years`` restricts what is pooled, e.g. to training
     years; years outside it still get normals. Rows exist for every year a city has.
     """
-    parts = partials(obs, value)
+    return loyo_of(partials(obs, value), half, pooling, reference_years)
+
+
+def loyo_of(parts: DataFrame, half: int = HALF, pooling: str = "pooled", reference_years: Sequence[int] | None = None) -> DataFrame:
+    """``loyo_normals`` from partial sums."""
     if reference_years is not None:
         parts = parts.filter(F.col("year").isin(list(reference_years)))
     own = window_partials(parts, half if pooling == "pooled" else 0)
@@ -103,7 +111,12 @@ def loyo_normals(obs: DataFrame, value: str = "temp_mean", half: int = HALF, poo
 
 def trailing_normals(obs: DataFrame, value: str = "temp_mean", n_years: int = 30, half: int = HALF) -> DataFrame:
     """Causal normals: for ref_key y, samples of years y-n_years..y-1 in the window."""
-    own = window_partials(partials(obs, value), half)
+    return trailing_of(partials(obs, value), n_years, half)
+
+
+def trailing_of(parts: DataFrame, n_years: int = 30, half: int = HALF) -> DataFrame:
+    """``trailing_normals`` from partial sums."""
+    own = window_partials(parts, half)
     w = Window.partitionBy("city_id", "slot").orderBy("year").rangeBetween(-n_years, -1)
     sums = own.select("city_id", "slot", F.col("year").alias("ref_key"), "centre", *(F.sum(c).over(w).alias(c) for c in ("n", "s", "q")))
     return sums.filter("n >= 2").select("city_id", "slot", "ref_key", *_finish(F.col("n"), F.col("s"), F.col("q")))

@@ -10,6 +10,7 @@ from isoclime.operators import climatology as clim
 from isoclime.operators import evaluation as ev
 from isoclime.operators import features as ft
 from isoclime.operators import model as ml
+from isoclime.operators import normals_mart as mart
 from isoclime.operators.cleaning import dedup_latest
 from isoclime.operators.star import dim_cities
 from isoclime.operators.tree_shapley import tree_shapley
@@ -136,6 +137,43 @@ def d6(spark: SparkSession, d: str) -> DataFrame:
     return normal_columns(clim.trailing_normals(daily(spark, d), n_years=3), "ref_key")
 
 
+def normals_from_batches(spark: SparkSession, d: str) -> DataFrame:
+    """The stored mart after three batches of days, the second of which brings late days of earlier years, and a revision."""
+    path, days = scratch(spark, "normals"), saved(daily(spark, d), "daily")
+    late, revised = F.dayofmonth("obs_date") % 9 == 0, F.dayofmonth("obs_date") == 5
+    wrong = days.filter("year(obs_date) <= 1997").filter(revised & ~late).withColumn("temp_mean", F.col("temp_mean") + 1000)
+    mart.merge_days(spark, path, 1, days.filter("year(obs_date) <= 1997").filter(~late & ~revised).unionByName(wrong))
+    mart.merge_days(spark, path, 2, days.filter("year(obs_date) BETWEEN 1998 AND 1999").unionByName(days.filter("year(obs_date) <= 1997").filter(late)))
+    rest = days.filter("year(obs_date) >= 2000").unionByName(days.filter("year(obs_date) <= 1997").filter(revised & ~late))
+    mart.merge_days(spark, path, 3, rest, withdrawn=wrong)
+    return mart.stored_partials(spark, path)
+
+
+@query("d2_normals_mart", ORACLES["d2_normals"])
+def d2_mart(spark: SparkSession, d: str) -> DataFrame:
+    return normal_columns(clim.pooled_of(normals_from_batches(spark, d), 0))
+
+
+@query("d3_smooth_normals_mart", ORACLES["d3_smooth_normals"])
+def d3_mart(spark: SparkSession, d: str) -> DataFrame:
+    return normal_columns(clim.smooth_normals(clim.pooled_of(normals_from_batches(spark, d), 0)))
+
+
+@query("d4_pooled_normals_mart", ORACLES["d4_pooled_normals"])
+def d4_mart(spark: SparkSession, d: str) -> DataFrame:
+    return normal_columns(clim.pooled_of(normals_from_batches(spark, d)))
+
+
+@query("d5_loyo_normals_mart", ORACLES["d5_loyo_normals"])
+def d5_mart(spark: SparkSession, d: str) -> DataFrame:
+    return normal_columns(clim.loyo_of(normals_from_batches(spark, d)), "ref_key")
+
+
+@query("d6_trailing_normals_mart", ORACLES["d6_trailing_normals"])
+def d6_mart(spark: SparkSession, d: str) -> DataFrame:
+    return normal_columns(clim.trailing_of(normals_from_batches(spark, d), n_years=3), "ref_key")
+
+
 @query("d7_zscore", sql("px_zf", "SELECT city_id, obs_date, slot, n, round(mu + 1e-7, 4) AS mu, round(sigma + 1e-7, 4) AS sigma, round(z + 1e-7, 4) AS z FROM px_zf"))
 def d7(spark: SparkSession, d: str) -> DataFrame:
     obs = daily(spark, d)
