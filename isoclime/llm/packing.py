@@ -181,7 +181,7 @@ def pack(
     src = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     names = ["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 
-    def flush(keys: list, ids: list[np.ndarray], base: int) -> tuple[list[pa.RecordBatch], int]:
+    def flush(keys: list, key_type: pa.DataType, ids: list[np.ndarray], base: int) -> tuple[list[pa.RecordBatch], int]:
         sequences, rows, parts = plan([len(x) for x in ids], window), [], []
         for s, pieces in enumerate(sequences):
             offset = 0
@@ -200,12 +200,9 @@ def pack(
             out.append(pa.RecordBatch.from_arrays(arrays, names))
         return out, base + len(sequences)
 
-    key_type = None
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nonlocal key_type
         base = TaskContext.get().partitionId() << 33
-        keys, ids, held = [], [], 0
+        keys, ids, held, key_type = [], [], 0, None
         for b in batches:
             key_type = b.schema.field(0).type
             for k, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -214,11 +211,11 @@ def pack(
                 ids.append(own)
                 held += len(own)
                 if held >= group_tokens:
-                    out, base = flush(keys, ids, base)
+                    out, base = flush(keys, key_type, ids, base)
                     yield from out
                     keys, ids, held = [], [], 0
         if ids:
-            yield from flush(keys, ids, base)[0]
+            yield from flush(keys, key_type, ids, base)[0]
 
     kind = src.schema["key"].dataType.simpleString()
     rest = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"

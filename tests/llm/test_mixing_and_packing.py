@@ -122,3 +122,35 @@ def test_pieces_round_trip(spark):
             for r in own:
                 assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) and r.length == len(r.ids)
     assert packing.pack(df.limit(0)).collect() == []
+
+
+def test_runs_of_three_million_blanks_are_encoded_as_the_file_says(spark):
+    library = Tokenizer.from_file(packing.default_tokenizer())
+    rows = [(i, f"a{blank * 3_000_000}b") for i, blank in enumerate((" ", "\t", "\n"))]
+    want = {i: library.encode(t, add_special_tokens=False).ids + [1] for i, t in rows}
+    got = {}
+    for r in packing.pack(spark.createDataFrame(rows, "doc_id int, text string").repartition(3)).collect():
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4"))
+        got.setdefault(r.doc_id, []).append((r.start, r.ids))
+    assert {i: [x for _, ids in sorted(parts) for x in ids] for i, parts in got.items()} == want
+
+
+def test_plan_equals_best_fit_by_search():
+    """``plan`` against best-fit decreasing with a plain search for the tightest window, up to where windows are closed."""
+    rng = random.Random(12)
+    for _ in range(60):
+        lengths = [rng.randrange(1, 90) for _ in range(rng.randrange(1, 80))]
+        bins = []
+        for d, n in sorted(((d, n % 32) for d, n in enumerate(lengths) if n % 32), key=lambda p: (-p[1], p[0])):
+            fits = [b for b in bins if sum(m for _, m in b) + n <= 32]
+            if fits:
+                max(fits, key=lambda b: sum(m for _, m in b)).append((d, n))
+            else:
+                bins.append([(d, n)])
+        closed = sum(sum(m for _, m in b) == 32 for b in bins)
+        out = packing.plan(lengths, 32)
+        full = [p for p in out if sum(n for _, _, n in p) == 32]
+        left = sum(lengths) % 32
+        assert len(out) - len(full) == left.bit_count() and len(full) == sum(lengths) // 32
+        whole = sum(n // 32 for n in lengths)
+        assert all(start == lengths[d] - n and n == lengths[d] % 32 for p in out[whole : whole + closed] for d, start, n in p)  # as best fit left them
