@@ -31,9 +31,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_table
-from .common import materialize, partitions, table
+from .common import materialize, new_folder, partitions, table
 from .suffix_array import permuted_lcp, suffix_array
 
+SPAN = 1 << 20  # bytes of text hashed at a time
 LENGTH, GRAM, SHARD_BYTES, CHUNK_BYTES, BUCKET_WINDOWS, SLICE_CHUNKS = 200, 40, 1 << 20, 1 << 20, 1 << 18, 1 << 10
 #: An odd number and its inverse modulo 2**64, and two odd multipliers that mix bits.
 BASE = 0x9E3779B97F4A7C15
@@ -74,21 +75,28 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(right[:n], left[width - 1 : width - 1 + n])
 
 
-def segments(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+def spans(texts: list[bytes], length: int, span: int) -> Iterator[tuple[int, int, bytes]]:
+    """(text number, place, bytes) of pieces with up to ``span`` windows, so that every window lies in one of them."""
+    for i, t in enumerate(texts):
+        if len(t) < span + length:
+            yield i, 0, t
+        else:
+            for at in range(0, len(t) - length + 1, span):
+                yield i, at, t[at : at + span + length - 1]
+
+
+def segments(texts: list[bytes], length: int, gram: int, span: int = SPAN) -> Iterator[tuple[np.ndarray, ...]]:
     """(text number, routing value, first window, last window, hashes, place of the text in them) of all segments.
 
-    About a MB of text at a time.
+    About ``span`` bytes of text at a time: short texts together, long ones piece by piece. A segment that crosses two pieces is two.
     """
-    at = 0
-    while at < len(texts):
-        size, end = 0, at
-        while end < len(texts) and (end == at or size + len(texts[end]) <= 1 << 20):
-            size += len(texts[end])
-            end += 1
-        lengths = np.array([len(t) for t in texts[at:end]], np.int64)
+    held: list[tuple[int, int, bytes]] = []
+
+    def flush() -> Iterator[tuple[np.ndarray, ...]]:
+        lengths = np.array([len(t) for _, _, t in held], np.int64)
         windows = np.maximum(lengths - length + 1, 0)
         if windows.any():
-            data = np.frombuffer(b"".join(texts[at:end]), np.uint8)
+            data = np.frombuffer(b"".join(t for _, _, t in held), np.uint8)
             hashes = gram_hashes(data, gram)
             least = sliding_min(hashes, length - gram + 1)
             of = np.repeat(np.arange(len(lengths)), windows)
@@ -98,8 +106,18 @@ def segments(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[np.nd
             value = least[place[of] + within]
             starts = np.flatnonzero(np.concatenate(([True], (value[1:] != value[:-1]) | (of[1:] != of[:-1]))))
             ends = np.append(starts[1:], len(of)) - 1
-            yield of[starts] + at, value[starts], within[starts], within[ends], hashes, place[of[starts]]
-        at = end
+            number, at = (np.array([h[k] for h in held], np.int64)[of[starts]] for k in (0, 1))
+            yield number, value[starts], within[starts] + at, within[ends] + at, hashes, place[of[starts]] - at
+
+    size = 0
+    for piece in spans(texts, length, span):
+        if held and size + len(piece[2]) > span:
+            yield from flush()
+            held, size = [], 0
+        held.append(piece)
+        size += len(piece[2])
+    if held:
+        yield from flush()
 
 
 def times_inside(value: np.ndarray, first: np.ndarray, last: np.ndarray, hashes: np.ndarray, place: np.ndarray, grams: int) -> np.ndarray:
@@ -290,10 +308,10 @@ def _dealt(large: DataFrame, length: int, chunk_bytes: int, bucket_windows: int,
 
 
 def _table(df: DataFrame, name: str, key: str) -> DataFrame:
-    """A table bucketed by ``key`` in the warehouse, so that joins on it leave its rows where they are."""
-    spark, name = df.sparkSession, scratch_table(name)
+    """A table bucketed by ``key`` in the shared folder, so that joins on it leave its rows where they are."""
+    spark, path, name = df.sparkSession, new_folder(df.sparkSession, name), scratch_table(name)
     n = partitions(spark)
-    df.repartition(n, key).write.option("compression", "zstd").bucketBy(n, key).saveAsTable(name)
+    df.repartition(n, key).write.option("compression", "zstd").option("path", path).bucketBy(n, key).saveAsTable(name)
     return spark.table(name)
 
 
@@ -307,6 +325,7 @@ def remove_repeats(
     chunk_bytes: int = CHUNK_BYTES,
     bucket_windows: int = BUCKET_WINDOWS,
     slice_chunks: int = SLICE_CHUNKS,
+    span_bytes: int = SPAN,
 ) -> DataFrame:
     """One row per input row: ``key``, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes).
 
@@ -325,7 +344,7 @@ def remove_repeats(
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             weights = b.column(0).to_numpy()
-            for of, value, first, last, hashes, place in segments(b.column(1).to_pylist(), length, gram):
+            for of, value, first, last, hashes, place in segments(b.column(1).to_pylist(), length, gram, span_bytes):
                 inside = times_inside(value, first, last, hashes, place, length - gram + 1)
                 each, inverse = np.unique(value, return_inverse=True)
                 sums = np.bincount(inverse, weights=np.minimum(weights[of] * inside, 2)).astype(np.int64)
@@ -334,14 +353,14 @@ def remove_repeats(
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_numpy()
-            for of, value, *_ in segments(b.column(1).to_pylist(), length, gram):
+            for of, value, *_ in segments(b.column(1).to_pylist(), length, gram, span_bytes):
                 yield pa.RecordBatch.from_arrays([_signed(value), pa.array(ids[of])], ["h", "tid"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             tids, shas, counts = (b.column(i).to_pylist() for i in range(3))
             texts, wanted = b.column(3).to_pylist(), b.column(4)
-            for of, value, first, last, *_ in segments(texts, length, gram):
+            for of, value, first, last, *_ in segments(texts, length, gram, span_bytes):
                 keep = np.zeros(len(of), bool)
                 for d in np.unique(of):
                     at = slice(*np.searchsorted(of, (d, d + 1)))
