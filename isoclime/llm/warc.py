@@ -37,11 +37,21 @@ DATE = "2026-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def open_fs(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a URI or plain path and the path in it, on whatever store the shared folder is."""
+#: Schemes of Hadoop's connectors and of the same stores in Arrow. Fixed values.
+STORES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfss": "abfss", "abfs": "abfs"}
+
+
+def store_uri(path: str) -> str:
+    """A Spark path as Arrow names it: file URIs become plain paths, connectors' schemes those of their stores."""
     if path.startswith("file:"):
-        path = "/" + path[5:].lstrip("/")
-    return fs.FileSystem.from_uri(path)
+        return "/" + path[5:].lstrip("/")
+    scheme, parted, rest = path.partition("://")
+    return f"{STORES.get(scheme, scheme)}://{rest}" if parted else path
+
+
+def open_fs(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a URI or plain path and the path in it, on the store of the shared folder."""
+    return fs.FileSystem.from_uri(store_uri(path))
 
 
 def url_key(url: str | None) -> str:

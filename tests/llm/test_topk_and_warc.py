@@ -88,3 +88,8 @@ def test_archive_round_trip(spark):
     missing = spark.createDataFrame([("zz)/", 1), ("", -5)], "url_key string, capture long")
     assert warc.lookup(index, missing).collect() == []
     assert warc.archive_and_read(df.limit(0)).collect() == []
+
+
+def test_stores_are_named_as_arrow_names_them():
+    names = {"s3a://b/p": "s3://b/p", "s3n://b/p": "s3://b/p", "s3://b/p": "s3://b/p", "hdfs://h:1/p": "hdfs://h:1/p", "file:/tmp/a b": "/tmp/a b", "file:///tmp/x": "/tmp/x", "/tmp/x": "/tmp/x", "gs://b/p": "gs://b/p"}
+    assert {k: warc.store_uri(k) for k in names} == names
