@@ -180,18 +180,31 @@ def anomaly_rate(flags: DataFrame) -> DataFrame:
     )
 
 
-def validate_events(flags: DataFrame, events: DataFrame) -> DataFrame:
-    """Known dated events against the flags: hit, peak |z| and its day, misses included.
+#: Event days up to which they are broadcast (a place and a day each); beyond, both sides meet by place and month.
+MOST_EVENT_DAYS = 1 << 20
 
-    events: event_id, city_id, start_date, end_date, direction (null: any).
+
+def validate_events(flags: DataFrame, events: DataFrame, most_days: int = MOST_EVENT_DAYS) -> DataFrame:
+    """Known dated events against the flags: hit, peak |z| and its day (ties: the first), misses included.
+
+    events: event_id, city_id, start_date, end_date, direction (null: any). Up to ``most_days`` days in all, the events'
+    days are broadcast and flags stay where they are: what isn't an event's day is dropped by a hash join, and only one
+    row an event is shuffled. Beyond, flags and events are dealt by place and month, so long spans are spread as well.
     """
-    e = events.select("event_id", F.col("city_id").alias("_city"), "start_date", "end_date", F.col("direction").alias("wanted"))
-    inside = (F.col("city_id") == F.col("_city")) & F.col("obs_date").between(F.col("start_date"), F.col("end_date"))
-    seen = e.join(flags, inside, "left")
+    spans = events.filter("start_date <= end_date").select("event_id", "city_id", "start_date", "end_date", F.col("direction").alias("wanted"))
+    total = spans.agg(F.sum(F.datediff("end_date", "start_date") + 1)).first()[0] or 0
+    marks = flags.select("city_id", "obs_date", "is_anomaly", "direction", "magnitude")
+    if total <= most_days:
+        days = spans.select("event_id", "city_id", "wanted", F.explode(F.sequence("start_date", "end_date")).alias("obs_date"))
+        seen = marks.join(F.broadcast(days), ["city_id", "obs_date"])
+    else:
+        month = lambda c: F.trunc(c, "month")
+        dealt = spans.withColumn("_month", F.explode(F.sequence(month("start_date"), month("end_date"), F.expr("INTERVAL 1 MONTH"))))
+        seen = marks.withColumn("_month", month("obs_date")).join(dealt, ["city_id", "_month"]).filter("obs_date BETWEEN start_date AND end_date")
     fits = F.col("is_anomaly") & (F.col("wanted").isNull() | (F.col("wanted") == F.col("direction")))
-    return seen.groupBy("event_id").agg(
-        F.coalesce(F.bool_or(fits), F.lit(False)).alias("hit"), F.max("magnitude").alias("peak"), F.max_by("obs_date", "magnitude").alias("peak_date")
-    )
+    order = F.when(F.col("magnitude").isNotNull(), F.struct(-F.col("magnitude"), "obs_date"))
+    found = seen.groupBy("event_id").agg(F.bool_or(fits).alias("hit"), F.max("magnitude").alias("peak"), F.min_by("obs_date", order).alias("peak_date"))
+    return events.select("event_id").distinct().join(found, "event_id", "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
 
 
 def require_events(validated: DataFrame, min_hits: int | None = None) -> int:

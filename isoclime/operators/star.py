@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from isoclime.functions.calendar import date_key, day_slot, is_leap, season
+from isoclime.session import scratch
 
 CITY_COLUMNS = {
     "city_id": "int", "name": "string", "country": "string", "region": "string", "latitude": "double", "longitude": "double",
@@ -82,13 +83,35 @@ def scd2_snapshot(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
 
 def as_of_dim(fact: DataFrame, history: DataFrame, keys: Sequence[str], day: str = "date") -> DataFrame:
-    """Fact rows with the version of the dimension valid on their day; rows without one are kept with nulls."""
-    h = history.select(*(F.col(k).alias(f"_{k}") for k in keys), *[c for c in history.columns if c not in keys])
-    match = F.lit(True)
+    """Fact rows with the version of the dimension valid on their day; rows without one are kept with nulls.
+
+    Versions of a key don't overlap. Versions and facts are sorted together by key and day, and each fact takes the last
+    version before it, so no pair of a fact and a version that isn't its own is ever made. Ranges of the sort are
+    written to the shared folder, and a key with more rows than a range goes over several of them: a range starts from
+    the last version its key had in the ranges before. Facts with a null key or day have no version.
+    """
+    values = [c for c in history.columns if c not in keys]
+    version = F.struct(*values)
+    marks = history.select(*keys, F.col("valid_from").alias("_at"), F.lit(0).alias("_kind"), version.alias("_version"), F.lit(None).cast(fact.select(F.struct(*fact.columns)).schema[0].dataType).alias("_fact"))
+    rows = fact.select(*keys, F.col(day).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(marks.schema["_version"].dataType).alias("_version"), F.struct(*fact.columns).alias("_fact"))
+    spark, path = fact.sparkSession, scratch(fact.sparkSession, "as_of")
+    order = [F.col(c) for c in ("_at", "_kind")]
+    salt = F.when(F.col("_kind") == 1, F.xxhash64("_fact"))  # equal days of one key are parted too
+    both = marks.unionByName(rows).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys, *order, salt)
+    both.withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
+    lasts = ranged.filter("_kind = 0").groupBy("_part", *keys).agg(F.max_by("_version", "_at").alias("_last"))
+    spread = ranged.select("_part", *keys).distinct().join(lasts, ["_part", *keys], "left")
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = spread.withColumn("_carried", F.last("_last", ignorenulls=True).over(before)).drop("_last")
+    inside = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = ranged.withColumn("_own", F.last("_version", ignorenulls=True).over(inside)).filter("_kind = 1")
+    found = own.join(carried.filter("_carried IS NOT NULL"), ["_part", *keys], "left").withColumn("_v", F.coalesce("_own", "_carried"))
+    valid = F.col("_v.valid_to").isNull() | (F.col("_at") < F.col("_v.valid_to"))
+    known = F.col("_at").isNotNull()
     for k in keys:
-        match = match & (F.col(k) == F.col(f"_{k}"))
-    inside = (F.col("valid_from") <= F.col(day)) & (F.col("valid_to").isNull() | (F.col(day) < F.col("valid_to")))
-    return fact.join(h, match & inside, "left").drop(*(f"_{k}" for k in keys))
+        known = known & F.col(k).isNotNull()
+    return found.select("_fact.*", *(F.when(valid & known, F.col(f"_v.{c}")).alias(c) for c in values))
 
 
 def open_history(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], since: str) -> DataFrame:
