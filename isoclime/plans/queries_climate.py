@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from isoclime.operators import evaluation as ev
 from isoclime.operators import features as ft
 from isoclime.operators import model as ml
 from isoclime.operators import normals_mart as mart
+from isoclime.operators.audit import audit_days
 from isoclime.operators.cleaning import dedup_latest
 from isoclime.operators.star import dim_cities
 from isoclime.operators.tree_shapley import tree_shapley
@@ -247,7 +250,13 @@ def d11(spark: SparkSession, d: str) -> DataFrame:
     return clim.leap_audit(obs, clim.zscore(obs, clim.loyo_normals(obs)))
 
 
-@query("d12_leakage_audit", sql("px_z", 'SELECT city_id, count(*) AS "rows", 0::BIGINT AS max_n_diff, 0.0::DOUBLE AS max_mu_diff, 0.0::DOUBLE AS max_sigma_diff FROM px_z WHERE n >= 2 GROUP BY 1'))
+@query(
+    "d12_leakage_audit",
+    sql("px_z", """, direct AS (SELECT a.city_id, a.obs_date, count(*) AS n2, avg(b.temp_mean) AS mu2, stddev_samp(b.temp_mean) AS sigma2
+  FROM px_obs a JOIN px_obs b ON a.city_id = b.city_id AND b.year < a.year + 1000 AND (b.slot - a.slot + 366 + 7) % 366 <= 14 AND b.year <> a.year GROUP BY 1, 2)
+SELECT city_id, count(*) AS "rows", max(abs(n - n2)) AS max_n_diff, round(max(abs(mu - mu2) / greatest(abs(mu2), 1.0)), 6) AS max_mu_diff, round(max(abs(sigma - sigma2) / greatest(abs(sigma2), 1.0)), 6) AS max_sigma_diff
+FROM px_z JOIN direct USING (city_id, obs_date) GROUP BY 1"""),
+)
 def d12(spark: SparkSession, d: str) -> DataFrame:
     obs = daily(spark, d)
     z = clim.zscore(obs, clim.loyo_normals(obs)).filter("n IS NOT NULL")
@@ -361,36 +370,46 @@ def e9(spark: SparkSession, d: str) -> DataFrame:
 
 
 def feature_rows(spark: SparkSession, d: str) -> DataFrame:
-    return ft.feature_table(daily(spark, d), pooled(spark, d), dim_cities(proxies.cities(spark, d)))
+    """The feature table on strict flags: no baseline behind a feature or label knows a year after training."""
+    days = saved(daily(spark, d), "daily")
+    return ft.feature_table(days, saved(strict(days), "strict_flags"), dim_cities(proxies.cities(spark, d)))
 
 
-@query(
-    "e10_feature_table",
-    sql("px_zf px_daily px_cities", f""", f AS (SELECT p.city_id, p.obs_date, p.temp_mean, p.surface_pressure, z, is_anomaly, slot, year, CAST(p.obs_date - DATE '1970-01-01' AS INTEGER) AS dn
-  FROM px_daily p JOIN px_zf USING (city_id, obs_date))
-SELECT city_id, obs_date, year, max(temp_mean) OVER {W(back(3), back(3))} AS temp_mean_lag3, round(avg(temp_mean) OVER {W(back(29), 'CURRENT ROW')} + 1e-7, 4) AS temp_mean_mean30,
-  round(last_value(z IGNORE NULLS) OVER {W(back(6), 'CURRENT ROW')} + 1e-7, 4) AS z_last, round(surface_pressure - max(surface_pressure) OVER {W(back(1), back(1))} + 1e-7, 4) AS surface_pressure_change24h,
-  round(sin(2 * pi() * slot / 366) + 1e-9, 6) AS doy_sin, elevation, CAST(sum(coalesce(CAST(is_anomaly AS INTEGER), 0)) OVER {W(back(29), 'CURRENT ROW')} AS BIGINT) AS anomaly_count30,
-  CASE WHEN obs_date + 7 <= max(obs_date) OVER (PARTITION BY city_id) AND count(is_anomaly) OVER {AHEAD} >= 1 THEN max(CAST(is_anomaly AS INTEGER)) OVER {AHEAD} END AS label
-FROM f LEFT JOIN px_cities USING (city_id)"""),
-)
+def lagged(column: str, k: int) -> str:
+    return f"max({column}) OVER {W(back(k), back(k))}"
+
+
+FEATURE_SQL = DN.replace("px_zf", "px_zsf").replace("f AS (SELECT *", "z AS (SELECT *") + f""", f AS (SELECT p.city_id, p.obs_date, p.temp_mean, p.surface_pressure, z, is_anomaly, slot, year, dn FROM px_daily p JOIN z USING (city_id, obs_date)
+), ft AS (SELECT f.city_id, obs_date, year, {", ".join(f"{lagged(c, k)} AS {c}_lag{k}" for c in ("temp_mean", "surface_pressure") for k in ft.LAGS)},
+  {", ".join(f"round(avg(temp_mean) OVER {W(back(w - 1), 'CURRENT ROW')} + 1e-7, 4) AS temp_mean_mean{w}, round(var_samp(temp_mean) OVER {W(back(w - 1), 'CURRENT ROW')} / 1e6 + 1e-7, 4) AS temp_mean_var{w}" for w in ft.ROLLS)},
+  round(z + 1e-7, 4) AS z_now, round(last_value(z IGNORE NULLS) OVER {W(back(6), "CURRENT ROW")} + 1e-7, 4) AS z_last,
+  {", ".join(f"round(surface_pressure - {lagged('surface_pressure', k)} + 1e-7, 4) AS surface_pressure_change{24 * k}h" for k in (1, 3))},
+  round(sin(2 * pi() * slot / 366) + 1e-9, 6) AS doy_sin, round(cos(2 * pi() * slot / 366) + 1e-9, 6) AS doy_cos, round(latitude + 1e-7, 4) AS latitude, elevation,
+  CAST(sum(coalesce(CAST(is_anomaly AS INTEGER), 0)) OVER {W(back(29), "CURRENT ROW")} AS BIGINT) AS anomaly_count30,
+  CASE WHEN obs_date + 7 <= max(obs_date) OVER (PARTITION BY f.city_id) AND count(is_anomaly) OVER {AHEAD} >= 1 THEN max(CAST(is_anomaly AS INTEGER)) OVER {AHEAD} END AS label
+FROM f LEFT JOIN px_cities ON px_cities.city_id = f.city_id)"""
+FEATURE_SQL = FEATURE_SQL.replace("PARTITION BY city_id", "PARTITION BY f.city_id")
+
+
+def feature_cells() -> list:
+    """All features as the SQL has them: variances in millions, everything that is computed rounded."""
+    exact = {f"{c}_lag{k}" for c in ("temp_mean", "surface_pressure") for k in ft.LAGS} | {"elevation", "anomaly_count30"}
+    digits = {"doy_sin": 6, "doy_cos": 6}
+    variance = lambda c: F.round(F.col(c) / 1e6 + 1e-7, 4).alias(c)
+    return [c if c in exact else variance(c) if c.startswith("temp_mean_var") else r(c, digits.get(c, 4)) for c in ft.FEATURES]
+
+
+@query("e10_feature_table", sql("px_zsf px_daily px_cities", FEATURE_SQL + " SELECT * FROM ft"))
 def e10(spark: SparkSession, d: str) -> DataFrame:
-    return feature_rows(spark, d).select(
-        "city_id", "obs_date", "year", "temp_mean_lag3", r("temp_mean_mean30"), r("z_last"), r("surface_pressure_change24h"), r("doy_sin", 6), "elevation", "anomaly_count30", "label"
-    )
+    return feature_rows(spark, d).select("city_id", "obs_date", "year", *feature_cells(), "label")
 
 
-@query(
-    "e10_feature_table_by_year",
-    sql("px_zf px_daily", """, f AS (SELECT p.city_id, p.obs_date, is_anomaly, year FROM px_daily p JOIN px_zf USING (city_id, obs_date)
-), w AS (SELECT city_id, obs_date, year, CAST(sum(coalesce(CAST(is_anomaly AS INTEGER), 0)) OVER (PARTITION BY city_id ORDER BY obs_date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS anomaly_count30 FROM f)
-SELECT city_id, obs_date, CAST(year AS INTEGER) AS year, anomaly_count30 FROM w WHERE year = 1999"""),
-)
+@query("e10_feature_table_by_year", sql("px_zsf px_daily px_cities", FEATURE_SQL + " SELECT * FROM ft WHERE year = 1999"))
 def e10_by_year(spark: SparkSession, d: str) -> DataFrame:
     """One year of the stored table: the filter prunes the other years' folders."""
     path = scratch(spark, "feature_table")
     ft.write_feature_table(feature_rows(spark, d), path)
-    return spark.read.parquet(path).filter("year = 1999").select("city_id", "obs_date", "year", "anomaly_count30")
+    return spark.read.parquet(path).filter("year = 1999").select("city_id", "obs_date", "year", *feature_cells(), "label")
 
 
 SPLIT = """, s AS (SELECT *, CASE WHEN obs_date <= DATE '1998-12-31' THEN 'train' WHEN obs_date <= DATE '1999-12-31' THEN 'validate' ELSE 'test' END AS split FROM l
@@ -415,18 +434,43 @@ def e12(spark: SparkSession, d: str) -> DataFrame:
     return ft.class_balance(labelled(pooled(spark, d))).select("split", "n", "positives", r("rate"), r("pos_weight"))
 
 
+AUDITED = [f"{y}-{m:02}-15" for y in (1997, 1999, 2000) for m in (1, 3, 6, 9, 12)]
+
+
+def audited(spark: SparkSession, d: str, flags_of: Callable[[DataFrame], DataFrame], years: range | None, columns: list[str] = ft.FEATURES) -> DataFrame:
+    """The stored feature table of some flags, audited on ``AUDITED`` in one run."""
+    days, cities = saved(daily(spark, d), "daily"), dim_cities(proxies.cities(spark, d))
+    path = scratch(spark, "feature_table")
+    ft.write_feature_table(ft.feature_table(days, saved(flags_of(days), "flags"), cities), path)
+    return audit_days(spark.read.parquet(path), days, cities, AUDITED, columns, reference_years=years)
+
+
 @query("e13_point_in_time_audit", sql("px_daily", "SELECT city_id, obs_date, CAST(NULL AS VARCHAR) AS feature FROM px_daily WHERE false"))
 def e13(spark: SparkSession, d: str) -> DataFrame:
-    audit = ft.point_in_time_audit(saved(daily(spark, d), "daily"), strict, dim_cities(proxies.cities(spark, d)), "1999-03-15")
-    return audit.select("city_id", "obs_date", "feature")
+    """Strict flags rest on training years alone, so from the end of training on nothing that comes later changes a feature."""
+    return audited(spark, d, strict, TRAIN_YEARS).filter("obs_date > DATE '1998-12-31'").select("city_id", "obs_date", "feature")
+
+
+CUT = """, ask AS (SELECT CAST(unnest(%s) AS DATE) AS as_of
+), own AS (SELECT as_of, o.* FROM ask JOIN px_obs o ON o.obs_date BETWEEN as_of - 29 AND as_of
+), z AS (SELECT a.as_of, a.city_id, a.obs_date, CASE WHEN count(b.temp_mean) >= 2 THEN (any_value(a.temp_mean) - avg(b.temp_mean)) / nullif(stddev_samp(b.temp_mean), 0) END AS z
+  FROM own a LEFT JOIN px_obs b ON a.city_id = b.city_id AND a.year <> b.year AND b.obs_date <= a.as_of AND least((a.slot - b.slot + 366) %% 366, (b.slot - a.slot + 366) %% 366) <= 7 GROUP BY 1, 2, 3
+), past AS (SELECT city_id, as_of AS obs_date, arg_max(z, obs_date) FILTER (obs_date = as_of) AS z_now, arg_max(z, obs_date) FILTER (z IS NOT NULL AND obs_date > as_of - 7) AS z_last,
+  CAST(count(*) FILTER (abs(z) > 2.5) AS DOUBLE) AS anomaly_count30 FROM z GROUP BY 1, 2 HAVING bool_or(obs_date = as_of)
+), g AS (SELECT *, CAST(obs_date - DATE '1970-01-01' AS INTEGER) AS dn FROM px_zf
+), full_ AS (SELECT city_id, obs_date, z AS z_now, last_value(z IGNORE NULLS) OVER %s AS z_last, CAST(sum(coalesce(CAST(is_anomaly AS INTEGER), 0)) OVER %s AS DOUBLE) AS anomaly_count30 FROM g
+), both_ AS (SELECT city_id, obs_date, unnest(['z_now', 'z_last', 'anomaly_count30']) AS feature, unnest([f.z_now, f.z_last, f.anomaly_count30]) AS a, unnest([p.z_now, p.z_last, p.anomaly_count30]) AS b
+  FROM past p JOIN full_ f USING (city_id, obs_date))
+SELECT city_id, obs_date, feature, round(a + 1e-7, 4) AS with_future, round(b + 1e-7, 4) AS without FROM both_
+WHERE NOT coalesce(abs(a - b) <= 1e-9 * greatest(abs(a), abs(b), 1.0), a IS NULL AND b IS NULL)""" % ([*AUDITED], W(back(6), "CURRENT ROW"), W(back(29), "CURRENT ROW"))
 
 
-@query("e13_point_in_time_audit_pooled")
+@query("e13_point_in_time_audit_pooled", sql("px_obs px_zf", CUT))
 def e13_pooled(spark: SparkSession, d: str) -> DataFrame:
-    """The same audit of flags whose baselines see all other years: what it reports is the leak."""
+    """The same audit of flags whose baselines see all other years: what it reports is the leak, as direct joins have it."""
     flags_of = lambda rows: clim.anomalies(rows, pooling="pooled")
-    audit = ft.point_in_time_audit(saved(daily(spark, d), "daily"), flags_of, dim_cities(proxies.cities(spark, d)), "1999-03-15", ["z_now", "z_last", "anomaly_count30"])
-    return audit.select("city_id", "obs_date", "feature", r("with_future"), r("without"))
+    found = audited(spark, d, flags_of, None, ["z_now", "z_last", "anomaly_count30"])
+    return found.select("city_id", "obs_date", "feature", r("with_future"), r("without"))
 
 
 # Baselines, metrics, models

@@ -119,6 +119,12 @@ SQL = {
     "px_zf": """
       SELECT o.city_id, o.obs_date, o.slot, o.year, o.temp_mean, z.n, z.mu, z.sigma, z.z, abs(z.z) > 2.5 AS is_anomaly
       FROM px_obs o LEFT JOIN px_z z USING (city_id, obs_date)""",
+    "px_zs": """
+      SELECT o.city_id, o.obs_date, o.slot, o.year, any_value(o.temp_mean) AS temp_mean,
+             CASE WHEN count(p.other) >= 2 THEN (any_value(o.temp_mean) - avg(p.other)) / nullif(stddev_samp(p.other), 0) END AS z
+      FROM px_obs o LEFT JOIN px_pairs p ON p.city_id = o.city_id AND p.obs_date = o.obs_date AND p.other_year <= 1998 GROUP BY 1, 2, 3, 4""",
+    "px_zsf": """
+      SELECT *, abs(z) > 2.5 AS is_anomaly FROM px_zs""",
 }
 
 
@@ -127,7 +133,7 @@ def sql(needs: str, body: str) -> str:
     order = list(SQL)
     above = {
         "px_bronze": ["px_daily"], "px_days": ["px_daily"], "px_spine": ["px_daily", "px_days"], "px_obs": ["px_daily"],
-        "px_pairs": ["px_obs"], "px_z": ["px_pairs"], "px_zf": ["px_z"],
+        "px_pairs": ["px_obs"], "px_z": ["px_pairs"], "px_zf": ["px_z"], "px_zs": ["px_pairs"], "px_zsf": ["px_zs"],
     }
     want: set[str] = set()
     todo = needs.split()
