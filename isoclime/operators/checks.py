@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from isoclime.session import scratch
+
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count."""
@@ -71,3 +73,48 @@ def run_suite(checks: Sequence[tuple[str, str, DataFrame]], stop: bool = True) -
     if stop and (bad := out.filter("NOT ok").collect()):  # one row a check
         raise RuntimeError("failed checks: " + ", ".join(f"{r['check']} on {r['table_name']} ({r['failing']})" for r in bad))
     return out
+
+
+class GateError(RuntimeError):
+    """A table was not published; ``report`` has (check, failing) of all its checks."""
+
+    def __init__(self, table: str, report: list[tuple[str, int]]):
+        self.report = report
+        super().__init__(f"{table} not written: " + ", ".join(f"{name} ({n})" for name, n in report if n))
+
+
+def row_rules(spec: dict[str, Sequence[str] | dict]) -> dict[str, Column]:
+    """Failing-row conditions by name: not_null (columns), accepted, range and regex (column: values, (low, high), pattern). Nulls pass but for not_null."""
+    out: dict[str, Column] = {f"not_null({c})": F.col(c).isNull() for c in spec.get("not_null", ())}
+    out |= {f"accepted({c})": ~F.col(c).isin(list(v)) for c, v in spec.get("accepted", {}).items()}
+    out |= {f"range({c})": ~F.col(c).between(*v) for c, v in spec.get("range", {}).items()}
+    return out | {f"regex({c})": ~F.col(c).rlike(v) for c, v in spec.get("regex", {}).items()}
+
+
+def gated_write(df: DataFrame, path: str, rules: dict[str, Column], least_rows: int = 1, by: Sequence[str] = ()) -> list[tuple[str, int]]:
+    """Write ``df`` to ``path`` if every rule holds, in one pass over its rows; (check, failing) of each rule, and of rows.
+
+    The rows are counted against all rules while they are written to a folder beside ``path``; only then is that folder
+    renamed to ``path``, or, if a rule failed, deleted and ``GateError`` raised: readers never see a table that failed, and
+    what was published before stays until the new one passes. ``rules``: conditions that are true of failing rows.
+    """
+    spark, seen = df.sparkSession, Observation()
+    staged = f"{path.rstrip('/')}-staged-{scratch(spark, 'gate').rsplit('-', 1)[1]}"
+    names = list(rules)
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.count_if(rules[n]).alias(f"rule{i}") for i, n in enumerate(names)))
+    watched.write.partitionBy(*by).parquet(staged)
+    got = seen.get
+    report = [("rows", 0 if got["rows"] >= least_rows else 1), *((n, got[f"rule{i}"]) for i, n in enumerate(names))]
+    if any(n for _, n in report):
+        _delete(spark, staged)
+        raise GateError(path, report)
+    _delete(spark, path)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    if not at(staged).getFileSystem(spark._jsc.hadoopConfiguration()).rename(at(staged), at(path)):
+        raise RuntimeError(f"{staged} could not be renamed to {path}")
+    return report
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

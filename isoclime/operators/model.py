@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .cleaning import dedup_latest
@@ -62,18 +62,48 @@ def upsert_predictions(existing: DataFrame, new: DataFrame) -> DataFrame:
     return dedup_latest(existing.unionByName(new), ["city_id", "forecast_date"], ["scored_at"], ["model_version", "risk_score"])
 
 
+def store_predictions(new: DataFrame, path: str) -> None:
+    """Upsert into the stored fact table, a folder a forecast date: only the dates of ``new`` are read, merged and replaced.
+
+    Running it again, with the same or fewer rows, changes no row. The merged dates are first written out as a whole
+    (``<path>-pending``) and then replaced from there; a run that ends in between leaves that folder, and the next one
+    replaces from it before anything else, so no date is lost half-way. One writer at a time.
+    """
+    spark = new.sparkSession
+    pending, conf = f"{path.rstrip('/')}-pending", spark._jsc.hadoopConfiguration()
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(conf)
+
+    def replace() -> None:
+        done = spark.read.parquet(pending)
+        done.repartition("forecast_date").write.partitionBy("forecast_date").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        fs.delete(at(pending), True)
+
+    if fs.exists(at(f"{pending}/_SUCCESS")):
+        replace()
+    fs.delete(at(pending), True)
+    dates = [r[0] for r in new.select("forecast_date").distinct().collect()]  # days of a calendar
+    if not dates:
+        return
+    merged = upsert_predictions(stored_predictions(spark, path, new, dates), new) if fs.exists(at(path)) else upsert_predictions(new.limit(0), new)
+    merged.write.parquet(pending)
+    replace()
+
+
+def stored_predictions(spark: SparkSession, path: str, like: DataFrame, dates: Sequence | None = None) -> DataFrame:
+    """The stored fact table, of some forecast dates if given: other dates' folders are not opened."""
+    rows = spark.read.schema(like.schema).parquet(path).select(*like.columns)
+    return rows if dates is None else rows.filter(F.col("forecast_date").isin(list(dates)))
+
+
 def save_model(model: PipelineModel, path: str, meta: dict) -> None:
     """The artefact, and beside it a one-row JSON record (training window, features, metrics, seed, partitions)."""
-    from pyspark.sql import SparkSession
-
     model.write().overwrite().save(f"{path}/model")
     spark = SparkSession.active()
     spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
 
 def load_model(path: str) -> tuple[PipelineModel, dict]:
-    from pyspark.sql import SparkSession
-
     meta = SparkSession.active().read.text(f"{path}/meta").first()[0]
     return PipelineModel.load(f"{path}/model"), json.loads(meta)
 

@@ -661,6 +661,30 @@ def f13(spark: SparkSession, d: str) -> DataFrame:
     return ml.upsert_predictions(old, new).select("city_id", "forecast_date", r("risk_score"), "label", "model_version", "lead_days")
 
 
+@query(
+    "f13_store_predictions",
+    sql("px_zf", ROUNDED + """, runs AS (SELECT city_id, obs_date AS forecast_date, score AS risk_score, 'v1' AS model_version, 1 AS run FROM c WHERE obs_date BETWEEN DATE '2000-01-01' AND DATE '2000-03-31'
+  UNION ALL SELECT city_id, obs_date, round(score * 0.5, 6), 'v2', 2 FROM c WHERE obs_date BETWEEN DATE '2000-03-01' AND DATE '2000-04-30' AND city_id % 3 <> 0
+  UNION ALL SELECT city_id, obs_date, 1.0, 'v0', 0 FROM c WHERE obs_date BETWEEN DATE '2000-02-10' AND DATE '2000-05-02' AND city_id % 2 = 0)
+SELECT city_id, forecast_date, risk_score, CAST(risk_score >= 0.1 AS INTEGER) AS label, model_version FROM runs QUALIFY row_number() OVER (PARTITION BY city_id, forecast_date ORDER BY run DESC) = 1"""),
+)
+def f13_store(spark: SparkSession, d: str) -> DataFrame:
+    """Three upserts of the stored fact table, one of them older than what it meets; the second is run twice."""
+    rows, path = rounded(spark, d), scratch(spark, "predictions")
+
+    def run(where: str, score, version: str, scored_at: str) -> DataFrame:
+        s = F.round(score, 6)
+        out = rows.filter(where).select("city_id", F.col("obs_date").alias("forecast_date"), s.alias("risk_score"), (s >= 0.1).cast("int").alias("label"))
+        return out.withColumn("model_version", F.lit(version)).withColumn("scored_at", F.lit(scored_at).cast("timestamp"))
+
+    first = run("obs_date BETWEEN DATE '2000-01-01' AND DATE '2000-03-31'", F.col("score"), "v1", "2026-01-02 00:00:00")
+    second = run("obs_date BETWEEN DATE '2000-03-01' AND DATE '2000-04-30' AND city_id % 3 <> 0", F.col("score") * 0.5, "v2", "2026-01-03 00:00:00")
+    older = run("obs_date BETWEEN DATE '2000-02-10' AND DATE '2000-05-02' AND city_id % 2 = 0", F.lit(1.0), "v0", "2026-01-01 00:00:00")
+    for new in (first, second, older, second):
+        ml.store_predictions(new, path)
+    return ml.stored_predictions(spark, path, first).select("city_id", "forecast_date", "risk_score", "label", "model_version")
+
+
 @query("f14_save_model")
 def f14(spark: SparkSession, d: str) -> DataFrame:
     rows, path = saved_features(spark, d), scratch(spark, "model")
@@ -689,6 +713,25 @@ def f15(spark: SparkSession, d: str) -> DataFrame:
     return ev.drift(rows.filter("year(obs_date) <= 1998"), rows.filter("year(obs_date) >= 2000"), EDGES).select("feature", r("psi"))
 
 
+SKETCHED = ["temp_mean", "humidity", "surface_pressure"]
+
+
+@query(
+    "f15_drift_from_sketches",
+    sql("px_daily", f""", v AS (SELECT year(obs_date) AS y, unnest({SKETCHED}) AS feature, unnest([{", ".join(SKETCHED)}]) AS x FROM px_daily
+), e AS (SELECT feature, quantile_disc(x, {[i / 8 for i in range(1, 8)]}) AS edges FROM v WHERE y <= 1998 GROUP BY 1
+), b AS (SELECT v.feature, y <= 1998 AS ref, CAST(x > edges[1] AS INTEGER) + CAST(x > edges[2] AS INTEGER) + CAST(x > edges[3] AS INTEGER) + CAST(x > edges[4] AS INTEGER)
+    + CAST(x > edges[5] AS INTEGER) + CAST(x > edges[6] AS INTEGER) + CAST(x > edges[7] AS INTEGER) AS bucket FROM v JOIN e ON e.feature = v.feature WHERE y <= 1998 OR y >= 2000
+), n AS (SELECT feature, bucket, count(*) FILTER (ref) AS a, count(*) FILTER (NOT ref) AS c FROM b GROUP BY 1, 2
+), q AS (SELECT feature, greatest(a, 0.5)::DOUBLE / sum(a) OVER w AS p, greatest(c, 0.5)::DOUBLE / sum(c) OVER w AS q FROM n WINDOW w AS (PARTITION BY feature))
+SELECT feature, round(sum((q - p) * ln(q / p)) + 1e-7, 4) AS psi FROM q GROUP BY 1"""),
+)
+def f15_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """Yearly sketches are stored once; edges and drift come from them. Sketches this large are exact up to 65,535 values."""
+    yearly = saved(ev.sketches(daily(spark, d).withColumn("year", F.year("obs_date")), SKETCHED, k=65535), "sketches")
+    return ev.sketch_drift(yearly.filter("year <= 1998"), yearly.filter("year >= 2000"), k=65535).select("feature", r("psi"))
+
+
 # Marts
 
 
