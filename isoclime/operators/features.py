@@ -85,10 +85,14 @@ def forward_label(df: DataFrame, lead: int = LEAD_DAYS, min_observed: int = 1) -
     return df.withColumn("label", F.when(known, hit))
 
 
-def feature_table(daily: DataFrame, flags: DataFrame, cities: DataFrame, lead: int = LEAD_DAYS) -> DataFrame:
-    """Features and label per city and day, from gold tables only; write it partitioned by year."""
-    z = flags.select("city_id", "obs_date", "z", "is_anomaly")
-    df = daily.select("city_id", "obs_date", "temp_mean", "surface_pressure").join(z, ["city_id", "obs_date"], "left")
+def feature_table(daily: DataFrame, flags: DataFrame | None, cities: DataFrame, lead: int = LEAD_DAYS) -> DataFrame:
+    """Features and label per city and day, from gold tables only; write it partitioned by year.
+
+    Without ``flags``, ``daily`` holds z and is_anomaly itself; stored by place (``star.write_gold``), it isn't shuffled.
+    """
+    df = daily.select("city_id", "obs_date", "temp_mean", "surface_pressure", *([] if flags is not None else ["z", "is_anomaly"]))
+    if flags is not None:
+        df = df.join(flags.select("city_id", "obs_date", "z", "is_anomaly"), ["city_id", "obs_date"], "left")
     df = pressure_tendency_daily(trailing_z(rolling(lags(df))))
     df = forward_label(anomaly_count(df), lead)
     return static_features(cyclic_doy(df), cities).withColumn("year", F.year("obs_date"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from isoclime.operators import checks, cleaning, star
-from isoclime.session import scratch
+from isoclime.session import scratch, scratch_table
 from isoclime.sources import landing, proxies
 from isoclime.sources.proxies import MEASURES, sql
 
@@ -92,6 +92,15 @@ def a4(spark: SparkSession, d: str) -> DataFrame:
     return got.select("city_id", "obs_date", "temp_mean", "seq", "year", "source_url", stamp("ingested_at", "landed_at"))
 
 
+@query("a4_land_hourly", sql("px_hourly", "SELECT city_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, wind_speed, pressure, temperature, CAST(year(ts) AS INTEGER) AS year, 'https://archive.example/hourly' AS source_url, '2026-02-01 00:00:00' AS landed_at FROM px_hourly"))
+def a4_hourly(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly rows, landed in two deliveries."""
+    path, hours = scratch(spark, "bronze_hourly"), proxies.hourly(spark, d)
+    for part in ("day(ts) <= 15", "day(ts) > 15"):
+        landing.land(hours.filter(part), path, "2026-02-01 00:00:00", "https://archive.example/hourly", day="ts")
+    return spark.read.parquet(path).select("city_id", stamp("ts", "ts"), "wind_speed", "pressure", "temperature", "year", "source_url", stamp("ingested_at", "landed_at"))
+
+
 @query(
     "a5_new_rows",
     sql("px_bronze", """SELECT DISTINCT city_id, obs_date, temp_mean FROM px_bronze b WHERE NOT EXISTS (
@@ -354,6 +363,34 @@ def c6(spark: SparkSession, d: str) -> DataFrame:
     return star.star_join(fact, cities, dates(spark, d)).select("city_id", "date", "temp_mean", "name", "region", "quarter", "iso_week", "slot")
 
 
+@query(
+    "c6_star_join_left",
+    sql("px_daily px_cities px_days", DIM_DATE + """
+SELECT p.city_id, p.obs_date AS date, temp_mean, name, quarter FROM px_daily p LEFT JOIN (SELECT * FROM px_cities WHERE city_id % 4 <> 1) c USING (city_id)
+LEFT JOIN (SELECT * FROM dim_date WHERE quarter <> 2) d ON d.date = p.obs_date"""),
+)
+def c6_left(spark: SparkSession, d: str) -> DataFrame:
+    """Facts of places and days that the dimensions lack are kept, with nulls."""
+    cities = star.dim_cities(proxies.cities(spark, d))
+    fact = star.fact_daily(proxies.daily(spark, d), cities, ["temp_mean"])
+    joined = star.star_join(fact, cities.filter("city_id % 4 <> 1"), dates(spark, d).filter("quarter <> 2"), "left")
+    return joined.select("city_id", "date", "temp_mean", "name", "quarter")
+
+
+@query(
+    "c6_star_join_stored",
+    sql("px_daily px_cities px_days", DIM_DATE + """
+SELECT city_id, p.obs_date AS date, temp_mean, name, quarter, CAST(year(p.obs_date) AS INTEGER) AS year FROM px_daily p JOIN px_cities USING (city_id) JOIN dim_date d ON d.date = p.obs_date
+WHERE d.is_leap AND quarter = 1"""),
+)
+def c6_stored(spark: SparkSession, d: str) -> DataFrame:
+    """The stored fact: a filter on the calendar leaves the folders of leap years alone to be read."""
+    cities = star.dim_cities(proxies.cities(spark, d))
+    fact = star.write_gold(star.fact_daily(proxies.daily(spark, d), cities, ["temp_mean"]), scratch_table("fact"), scratch(spark, "fact"), 8)
+    joined = star.star_join(fact, cities, dates(spark, d).filter("is_leap AND quarter = 1"))
+    return joined.select("city_id", "date", "temp_mean", "name", "quarter", "year")
+
+
 def history(spark: SparkSession, d: str) -> DataFrame:
     seed = star.dim_cities(proxies.cities(spark, d))
     first = star.open_history(seed, ["city_id"], ["name", "population"], "1995-01-01")
@@ -458,3 +495,22 @@ def h6(spark: SparkSession, d: str) -> DataFrame:
     return checks.run_suite(suite, stop=False)
 
 
+
+
+GATE = {"not_null": ["temp_mean"], "range": {"humidity": (10.0, 60.0), "wind_speed": (1.0, 45.0), "surface_pressure": (1000.0, 1010.0)}}
+
+
+@query(
+    "h6_gated_write",
+    sql("px_daily", """, k AS (SELECT 'rows' AS "check", 0 AS failing UNION ALL SELECT 'not_null(temp_mean)', count(*) FILTER (temp_mean IS NULL) FROM px_daily
+  UNION ALL SELECT 'range(humidity)', count(*) FILTER (NOT humidity BETWEEN 10 AND 60) FROM px_daily UNION ALL SELECT 'range(wind_speed)', count(*) FILTER (NOT wind_speed BETWEEN 1 AND 45) FROM px_daily
+  UNION ALL SELECT 'range(surface_pressure)', count(*) FILTER (NOT surface_pressure BETWEEN 1000 AND 1010) FROM px_daily)
+SELECT "check", CAST(failing AS BIGINT) AS failing, (SELECT sum(failing) FROM k) = 0 AS published FROM k"""),
+)
+def h6_gated(spark: SparkSession, d: str) -> DataFrame:
+    """The daily table's checks, counted while it is written; what they found, and whether it was published."""
+    try:
+        report, published = checks.gated_write(proxies.daily(spark, d), scratch(spark, "gated"), checks.row_rules(GATE)), True
+    except checks.GateError as e:
+        report, published = e.report, False
+    return spark.createDataFrame([(name, n, published) for name, n in report], "check string, failing long, published boolean")
