@@ -856,3 +856,16 @@ def s3(spark: SparkSession, d: str) -> DataFrame:
     q = streams.stream_upsert_silver(event_stream(spark, d), ["city_id", "ts"], ["event_id", "value"], "ts", "ts", bronze, scratch(spark, "late"), scratch(spark, "state"))
     q.awaitTermination()
     return streams.silver_of(spark.read.parquet(bronze), ["city_id"], "ts", ["event_id"]).select("city_id", "event_id", "value")
+
+
+@query("s3_stream_versions", "SELECT city_id, event_id, value FROM (SELECT CAST(user_id % 15 AS INTEGER) AS city_id, event_id, value, ts FROM events) QUALIFY row_number() OVER (PARTITION BY city_id ORDER BY ts DESC, event_id DESC) = 1")
+def s3_keyed(spark: SparkSession, d: str) -> DataFrame:
+    """Silver from the keyed stream: versions are told from state, nothing that was written is read again."""
+    key, path = "spark.sql.streaming.stateStore.providerClass", scratch(spark, "versions")
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, streams.STATE_STORE)
+    try:
+        streams.stream_versions(event_stream(spark, d), ["city_id", "ts"], ["event_id", "value"], "ts", "ts", path, scratch(spark, "state")).awaitTermination()
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    return streams.silver_of(spark.read.parquet(path).filter("is_late = 0"), ["city_id"], "ts", ["event_id"]).select("city_id", "event_id", "value")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
 from isoclime.operators.cleaning import dedup_latest
@@ -87,3 +87,79 @@ def stream_upsert_silver(
 
 def silver_of(bronze: DataFrame, keys: Sequence[str], newest: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     return dedup_latest(bronze, keys, [newest], tiebreak)
+
+
+# --- the same split with keyed state --------------------------------------------------------------------------------------
+
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Days a version stays known after the watermark has passed its stamp; a repeat that comes later lands again.
+KEEP_DAYS = 30
+
+
+class Versions(StatefulProcessor):
+    """Per group: the versions seen lately, so that a repeat is dropped, each until the watermark has left its stamp behind.
+
+    Groups are parts of a place's rows by stamp (a place and a day), so a group's versions leave the state together, by one
+    timer: the state holds the days within lateness and ``keep_ms``, however long the stream runs.
+    """
+
+    def __init__(self, columns: list[str], keep_ms: int):
+        self.columns, self.keep_ms = columns, keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getMapState("seen", "version string", "stamp long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        mark = timerValues.getCurrentWatermarkInMs()
+        newest = None
+        for part in rows:
+            keep = []
+            for at, stamp, version in zip(range(len(part)), part["stamp_ms"], part["version_id"], strict=True):
+                if not self.seen.containsKey((version,)):
+                    self.seen.updateValue((version,), (int(stamp),))
+                    keep.append(at)
+            if len(part):
+                newest = max(int(part["stamp_ms"].max()), newest or 0)
+            if keep:
+                out = part.iloc[keep][self.columns].copy()
+                out["is_late"] = (part.iloc[keep]["stamp_ms"] < mark).to_numpy()
+                yield out
+        if newest is not None:
+            self.handle.registerTimer(max(newest, mark) + self.keep_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if not any(t > expiredTimerInfo.getExpiryTimeInMs() for t in self.handle.listTimers()):
+            self.seen.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def stream_versions(
+    rows: DataFrame, keys: Sequence[str], values: Sequence[str], ts: str, newest: str, path: str, checkpoint: str, max_late_days: int = 7, keep_days: int = KEEP_DAYS
+) -> StreamingQuery:
+    """``stream_upsert_silver`` without reading what was written: new versions and late rows are told from keyed state.
+
+    ``path`` holds batch=<n>/is_late=<0 or 1>/ folders; a batch that is run again replaces its own. A row is late
+    if its stamp lies before the watermark, the newest stamp of earlier batches less ``max_late_days``; a version is a row
+    that differs in keys, values or stamps, and a repeat, in time or late, is dropped while its day is in the state. Needs the RocksDB state
+    store (``spark.sql.streaming.stateStore.providerClass``).
+    """
+    same = list(dict.fromkeys([*keys, *values, newest, ts]))
+    stamped = rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, f"{max_late_days} days")
+    version = F.sha2(F.to_json(F.struct(*same), {"ignoreNullFields": "false"}), 256)
+    group = [k for k in keys if k != ts]
+    # as a number the stamp carries no watermark, so late rows reach the processor and are told apart there
+    plain = [F.col(c).cast("string").alias(c) if c == ts else F.col(c) for c in rows.columns]
+    keyed = stamped.select(*plain, F.unix_millis(ts).alias("stamp_ms"), F.to_date(F.col(ts)).cast("string").alias("stamp_day"), version.alias("version_id"))
+    out = StructType([*(f for f in keyed.schema.fields if f.name in rows.columns)]).add("is_late", "boolean")
+    processor = Versions(rows.columns, keep_days * 86_400_000)
+    told = keyed.groupBy(*group, "stamp_day").transformWithStateInPandas(processor, out, "Append", "EventTime")
+    back = told.withColumn(ts, F.col(ts).cast(rows.schema[ts].dataType))
+
+    def write(df: DataFrame, number: int) -> None:
+        df.withColumns({"batch": F.lit(number), "is_late": F.col("is_late").cast("int")}).write.partitionBy("batch", "is_late").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+    return back.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
