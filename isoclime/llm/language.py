@@ -20,7 +20,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .common import materialize, partitions, sliced, table
 
@@ -110,7 +109,7 @@ def sample(labelled: DataFrame, text: str, lang: str, key: str, per_language: in
     if not counts:
         return [], None
     limits = F.create_map(*(F.lit(v) for r in counts for v in (r["lang"], int(min(1.0, per_language / r["count"]) * (1 << 62)))))
-    spot = F.xxhash64(F.lit("sample"), F.col(key), F.length(text))
+    spot = F.xxhash64(F.lit("sample"), F.col(key), F.col(text))
     rows = rows.filter(F.shiftrightunsigned(spot, 2) <= F.try_element_at(limits, F.col(lang)))
     rows = rows.select(spot.alias("spot"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.orderBy("spot", "lang").limit(int(1.5 * per_language) * len(counts))
@@ -171,16 +170,19 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", lang_pre
     """
     held = docs.drop(lang_pred, score)
     shared = held.sparkSession.sparkContext.broadcast(model)  # one row of weights a pair of families or of languages in a family
-    names, at = [*held.columns, lang_pred, score], held.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches):
-            got = shared.value.predict(b.column(at).to_pylist())
-            extra = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*b.columns, *extra], names)
-
-    schema = StructType(list(held.schema.fields)).add(lang_pred, "string").add(score, "double")
-    return held.mapInArrow(run, schema)
+    def guess(texts: pa.Array) -> pa.Array:
+        langs, scores = [], []
+        for at in range(0, len(texts), 256):  # only texts go to Python, and only slices of them are held there
+            for lang, score in shared.value.predict(texts.slice(at, 256).to_pylist()):
+                langs.append(lang)
+                scores.append(score)
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
+
+    once = F.arrow_udf(guess, "struct<lang: string, score: double>").asNondeterministic()  # so that no plan runs it twice
+    found = "_" * (1 + max(map(len, held.columns))) + "found"
+    out = held.withColumn(found, once(F.col(text)))
+    return out.select(*held.columns, F.col(f"{found}.lang").alias(lang_pred), F.col(f"{found}.score").alias(score))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
