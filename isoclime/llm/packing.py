@@ -27,7 +27,7 @@ from tokenizers import Tokenizer
 
 from .common import table
 
-WINDOW, END_ID, GROUP_TOKENS = 2048, 1, 1 << 23
+WINDOW, END_ID, GROUP_TOKENS = 2048, 1, 1 << 21
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed: byte-level pre-tokenisation
 
 _encoders: dict[str, tiktoken.Encoding] = {}
@@ -190,7 +190,7 @@ def pack(
                 rows.append((d, start, n, zlib.crc32(part), len(ids[d]), base + s, offset))
                 parts.append(part)
                 offset += n
-        out, step = [], 1 << 13
+        out, step = [], 1 << 10
         for at in range(0, len(rows), step):
             some = np.array(rows[at : at + step], np.int64)
             lengths = np.concatenate(([0], np.cumsum(some[:, 2]))).astype(np.int32)
