@@ -21,7 +21,8 @@ def shard_by_bytes(docs: DataFrame, n_shards: int, text: str = "text", key: str
     """One row per input row: ``key``, size, text_crc32, law, shard, slot, grown_shard, start_byte.
 
     Size is the text's UTF-8 bytes (null: none) plus ``overhead``. Order is by key, null first; rows that
-    tie on key are ordered by checksum and size, so equal rows are interchangeable. A row goes to the shard
+    tie on key are ordered by checksum and size, so equal rows are interchangeable; they are parted by where they
+    are read, so any number of rows with one key (null, say) and one text goes over many tasks. A row goes to the shard
     that holds its middle byte. Empty input gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -30,8 +31,9 @@ def shard_by_bytes(docs: DataFrame, n_shards: int, text: str = "text", key: str
         F.col(key).alias("_key"),
         (F.octet_length(body) + F.lit(overhead)).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
+        F.monotonically_increasing_id().alias("_place"),
     )
-    order = ["_key", "text_crc32", "size"]
+    order = ["_key", "text_crc32", "size", "_place"]  # the place parts rows that are equal otherwise, however many there are
     ranged = materialize(light.repartitionByRange(partitions(spark), *order).withColumn("_part", F.spark_partition_id()), "ranged")
     totals = ranged.groupBy("_part").agg(F.sum("size").alias("_bytes"), F.count("*").alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -46,7 +48,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int, text: str = "text", key: str
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = ranged.select("*", F.sum("size").over(running).alias("_upto"), F.row_number().over(inside).alias("_nth"))
     placed = placed.join(F.broadcast(base), "_part").select(
-        *order,
+        *order[:3],
         (F.col("_byte0") + F.col("_upto") - F.col("size")).alias("start_byte"),
         (F.col("_row0") + F.col("_nth") - 1).alias("_index"),
         "_total",

@@ -5,6 +5,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from isoclime.llm.common import materialize
 from isoclime.llm import exact_dedup, sharding
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -75,3 +76,19 @@ def test_a_text_that_is_a_third_of_all_rows_leaves_shards_even(spark):
         if r.doc_id % 3 == 0:
             copies.add(r.shard)
     assert max(sums.values()) - min(sums.values()) <= 2 * max(r.size for r in got) and copies == set(range(9))
+
+
+def test_a_third_of_all_rows_without_id_and_with_one_text_go_over_many_tasks(spark, monkeypatch):
+    import isoclime.llm.sharding as sharding
+
+    seen = []
+    keep = lambda df, name: seen.append(materialize(df, name)) or seen[-1]
+    monkeypatch.setattr(sharding, "materialize", keep)
+    rows = [(None if i % 3 == 0 else i, "same" if i % 3 == 0 else f"text {i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id int, text string").repartition(6)
+    got = sharding.shard_by_bytes(df, 10).collect()
+    sizes = [sum(r.size for r in got if r.shard == s) for s in range(10)]
+    assert len(got) == 6000 and max(sizes) - min(sizes) < 60
+    assert all(sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got))) for s in range(10))
+    parts = [r["count"] for r in seen[0].filter("_key IS NULL").groupBy("_part").count().collect()]
+    assert len(parts) >= 2 and max(parts) < 1900
