@@ -46,10 +46,19 @@ def leaves(model: PipelineModel) -> list[tuple[int, float, list[tuple[int, float
     return out
 
 
-def _mask(values: str) -> Column:
+def _bounds(tree: DataFrame, most: int) -> DataFrame:
+    """The leaves with a column for each bound of their paths, so that masks are plain comparisons."""
+    step = lambda i: F.get("path", F.lit(i))
+    return tree.select("leaf", *(step(i)[c].alias(f"{c}{i}") for i in range(most) for c in ("f", "low", "high")))
+
+
+def _mask(most: int) -> Column:
     """The bits of the path's features that lie within their bounds."""
-    met = F.transform("path", lambda c, i: F.when((F.get(values, c["f"]) > c["low"]) & (F.get(values, c["f"]) <= c["high"]), F.call_function("shiftleft", F.lit(1), i)).otherwise(0))
-    return F.aggregate(met, F.lit(0), lambda a, b: a + b)
+    out = F.lit(0)
+    for i in range(most):
+        x = F.get("_x", F.col(f"f{i}"))
+        out = out + F.when((x > F.col(f"low{i}")) & (x <= F.col(f"high{i}")), 1 << i).otherwise(0)
+    return out
 
 
 def _inputs(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -58,9 +67,10 @@ def _inputs(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> Dat
     return filled.select(*df.columns, F.array(*(F.col(f"{c}_filled") for c in features)).alias("_x"))
 
 
-def leaf_masks(df: DataFrame, tree: DataFrame, n_leaves: int) -> DataFrame:
+def leaf_masks(df: DataFrame, tree: DataFrame, n_leaves: int, most: int) -> DataFrame:
     """Every row with every leaf's number and the row's mask there; the leaves are bounded by the model and broadcast."""
-    return df.withColumn("leaf", F.explode(F.sequence(F.lit(0), F.lit(n_leaves - 1)))).join(F.broadcast(tree), "leaf").withColumn("mask", _mask("_x"))
+    every = df.withColumn("leaf", F.explode(F.sequence(F.lit(0), F.lit(n_leaves - 1))))
+    return every.join(F.broadcast(_bounds(tree, most)), "leaf").withColumn("mask", _mask(most)).select(*df.columns, "leaf", "mask")
 
 
 def contributions(tree: DataFrame, background: DataFrame) -> DataFrame:
@@ -87,13 +97,14 @@ def tree_shapley(model: PipelineModel, rows: DataFrame, background: DataFrame, f
     most 20 features on a path.
     """
     spark, made = rows.sparkSession, leaves(model)
-    if max(len(path) for _, _, path in made) > 20:
+    most = max(len(path) for _, _, path in made)
+    if most > 20:
         raise ValueError("a path with more than 20 features")
     tree = spark.createDataFrame(made, LEAVES)
-    back = leaf_masks(_inputs(model, background, features).select("_x"), tree, len(made)).groupBy("leaf", F.col("mask").alias("back")).agg(F.count("*").alias("n"))
+    back = leaf_masks(_inputs(model, background, features).select("_x"), tree, len(made), most).groupBy("leaf", F.col("mask").alias("back")).agg(F.count("*").alias("n"))
     shares = back.join(back.groupBy("leaf").agg(F.sum("n").alias("all")), "leaf").select("leaf", "back", (F.col("n") / F.col("all")).alias("share"))
     gains = contributions(tree, shares)
-    seen = leaf_masks(_inputs(model, rows, features).select(*keys, "_x"), tree, len(made)).select(*keys, "leaf", "mask")
+    seen = leaf_masks(_inputs(model, rows, features).select(*keys, "_x"), tree, len(made), most).select(*keys, "leaf", "mask")
     each = seen.join(F.broadcast(gains), ["leaf", "mask"]).select(*keys, F.inline("phi"))
     sums = each.groupBy(*keys, "f").agg(F.sum("phi").alias("phi"))
     names = F.array(*(F.struct(F.lit(i).alias("f"), F.lit(c).alias("feature")) for i, c in enumerate(features)))
