@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from isoclime.functions.calendar import day_slot, shift_slot
 from isoclime.operators.running import running
+from isoclime.session import scratch
 
 THRESHOLD, HALF, MIN_N = 2.5, 7, 2
 
@@ -243,9 +244,15 @@ def leakage_audit(obs: DataFrame, z: DataFrame, cities: Sequence[int] | None = N
 
 
 def variability_rank(normal: DataFrame) -> DataFrame:
-    """Cities by mean sigma, steadiest first."""
-    means = normal.groupBy("city_id").agg(F.avg("sigma").alias("mean_sigma"))
-    per = running(means.groupBy("mean_sigma").agg(F.count("*").alias("n")), [F.asc("mean_sigma")], {"upto": "n"})
+    """Cities by mean sigma, steadiest first; a city without one comes last.
+
+    The means are written once: they are summed in whatever order partials arrive, so means computed a second time may
+    differ in their last digit and would then not meet their own rank.
+    """
+    path = scratch(normal.sparkSession, "means")
+    normal.groupBy("city_id").agg(F.avg("sigma").alias("mean_sigma")).write.parquet(path)
+    means = normal.sparkSession.read.parquet(path)
+    per = running(means.groupBy("mean_sigma").agg(F.count("*").alias("n")), [F.asc_nulls_last("mean_sigma")], {"upto": "n"})
     rank = per.select(F.col("mean_sigma").alias("_s"), (F.col("upto") - F.col("n") + 1).cast("int").alias("rank"))
     return means.join(rank, F.col("mean_sigma").eqNullSafe(F.col("_s"))).drop("_s")
 
