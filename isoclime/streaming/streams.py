@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -94,13 +95,38 @@ def silver_of(bronze: DataFrame, keys: Sequence[str], newest: str, tiebreak: Seq
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Days a version stays known after the watermark has passed its stamp; a repeat that comes later lands again.
 KEEP_DAYS = 30
+#: Shares a place's day is dealt over by the version's hash; a running stream's checkpoint belongs to its number.
+SHARES = 8
+#: Blocks of digests a group stores before they are joined into one.
+MOST_BLOCKS = 64
+DIGEST = np.dtype("S16")
+
+
+class Known:
+    """Digests told from earlier ones: sorted blocks, each over twice the next, so an addition merges a logarithm of them."""
+
+    def __init__(self) -> None:
+        self.blocks: list[np.ndarray] = []
+
+    def add(self, digests: np.ndarray) -> None:
+        if len(digests):
+            self.blocks.append(np.sort(digests))
+        while len(self.blocks) > 1 and len(self.blocks[-2]) <= 2 * len(self.blocks[-1]):
+            self.blocks.append(np.sort(np.concatenate([self.blocks.pop(), self.blocks.pop()])))
+
+    def holds(self, digests: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(digests), bool)
+        for block in self.blocks:
+            out |= block[np.minimum(np.searchsorted(block, digests), len(block) - 1)] == digests
+        return out
 
 
 class Versions(StatefulProcessor):
     """Per group: the versions seen lately, so that a repeat is dropped, each until the watermark has left its stamp behind.
 
-    Groups are parts of a place's rows by stamp (a place and a day), so a group's versions leave the state together, by one
-    timer: the state holds the days within lateness and ``keep_ms``, however long the stream runs.
+    Groups are shares of a place's rows by stamp (a place, a day and a share of the versions), so a group's versions leave
+    the state together, by one timer: the state holds the days within lateness and ``keep_ms``, however long the stream runs.
+    Digests are read and stored in blocks, a few calls a group and batch: a call for each row costs more than all the rest.
     """
 
     def __init__(self, columns: list[str], keep_ms: int):
@@ -108,23 +134,29 @@ class Versions(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", "version string", "stamp long")
+        self.seen = handle.getListState("seen", "digests binary")
 
     def handleInputRows(self, key, rows, timerValues):
         mark = timerValues.getCurrentWatermarkInMs()
-        newest = None
+        newest, known, added = None, Known(), []
+        stored = [bytes(block) for (block,) in self.seen.get()]
+        known.add(np.frombuffer(b"".join(stored), DIGEST))
         for part in rows:
-            keep = []
-            for at, stamp, version in zip(range(len(part)), part["stamp_ms"], part["version_id"], strict=True):
-                if not self.seen.containsKey((version,)):
-                    self.seen.updateValue((version,), (int(stamp),))
-                    keep.append(at)
+            digests, first = np.unique(np.frombuffer(b"".join(part["version_id"]), DIGEST), return_index=True)
+            fresh = ~known.holds(digests)
             if len(part):
                 newest = max(int(part["stamp_ms"].max()), newest or 0)
-            if keep:
-                out = part.iloc[keep][self.columns].copy()
-                out["is_late"] = (part.iloc[keep]["stamp_ms"] < mark).to_numpy()
+            if fresh.any():
+                known.add(digests[fresh])
+                added.append(digests[fresh].tobytes())
+                at = np.sort(first[fresh])
+                out = part.iloc[at][self.columns].copy()
+                out["is_late"] = (part.iloc[at]["stamp_ms"] < mark).to_numpy()
                 yield out
+        if added and len(stored) < MOST_BLOCKS:
+            self.seen.appendValue((b"".join(added),))
+        elif added:
+            self.seen.put([(b"".join(stored + added),)])
         if newest is not None:
             self.handle.registerTimer(max(newest, mark) + self.keep_ms)
 
@@ -149,14 +181,15 @@ def stream_versions(
     """
     same = list(dict.fromkeys([*keys, *values, newest, ts]))
     stamped = rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, f"{max_late_days} days")
-    version = F.sha2(F.to_json(F.struct(*same), {"ignoreNullFields": "false"}), 256)
+    version = F.unhex(F.left(F.sha2(F.to_json(F.struct(*same), {"ignoreNullFields": "false"}), 256), F.lit(2 * DIGEST.itemsize)))
     group = [k for k in keys if k != ts]
     # as a number the stamp carries no watermark, so late rows reach the processor and are told apart there
     plain = [F.col(c).cast("string").alias(c) if c == ts else F.col(c) for c in rows.columns]
     keyed = stamped.select(*plain, F.unix_millis(ts).alias("stamp_ms"), F.to_date(F.col(ts)).cast("string").alias("stamp_day"), version.alias("version_id"))
+    keyed = keyed.withColumn("version_share", F.pmod(F.xxhash64("version_id"), F.lit(SHARES)))
     out = StructType([*(f for f in keyed.schema.fields if f.name in rows.columns)]).add("is_late", "boolean")
     processor = Versions(rows.columns, keep_days * 86_400_000)
-    told = keyed.groupBy(*group, "stamp_day").transformWithStateInPandas(processor, out, "Append", "EventTime")
+    told = keyed.groupBy(*group, "stamp_day", "version_share").transformWithStateInPandas(processor, out, "Append", "EventTime")
     back = told.withColumn(ts, F.col(ts).cast(rows.schema[ts].dataType))
 
     def write(df: DataFrame, number: int) -> None:
