@@ -65,6 +65,11 @@ def daily(spark: SparkSession, d: str) -> DataFrame:
     return proxies.daily(spark, d)
 
 
+def stored_days(spark: SparkSession, d: str, *measures: str) -> DataFrame:
+    """Some measures of the daily series, written and read back: line items are read once, later steps read days of a calendar."""
+    return saved(daily(spark, d).select("city_id", "obs_date", *measures), "daily")
+
+
 N3 = "n, round(mu + 1e-7, 4) AS mu, round(sigma + 1e-7, 4) AS sigma"
 NEAR = "least((a.slot - b.slot + 366) % 366, (b.slot - a.slot + 366) % 366) <= 7"
 SLOTS = ", slots AS (SELECT DISTINCT city_id, unnest(range(1, 367)) AS slot FROM px_obs)"
@@ -125,7 +130,7 @@ SMOOTH = f""", single AS (SELECT o.city_id, o.slot, y.year, count(*) AS n, avg(t
 
 @query("d5_smoothed_zscore", sql("px_obs", SMOOTH + " SELECT city_id, obs_date, n, round(mu + 1e-7, 4) AS mu, round(sigma + 1e-7, 4) AS sigma, round((temp_mean - mu) / nullif(sigma, 0) + 1e-7, 4) AS z, abs((temp_mean - mu) / nullif(sigma, 0)) > 2.5 AS is_anomaly FROM smooth"))
 def d5s(spark: SparkSession, d: str) -> DataFrame:
-    return clim.anomalies(daily(spark, d)).select("city_id", "obs_date", "n", r("mu"), r("sigma"), r("z"), "is_anomaly")
+    return clim.anomalies(stored_days(spark, d, "temp_mean")).select("city_id", "obs_date", "n", r("mu"), r("sigma"), r("z"), "is_anomaly")
 
 
 @query(
@@ -179,7 +184,7 @@ def d6_mart(spark: SparkSession, d: str) -> DataFrame:
 
 @query("d7_zscore", sql("px_zf", "SELECT city_id, obs_date, slot, n, round(mu + 1e-7, 4) AS mu, round(sigma + 1e-7, 4) AS sigma, round(z + 1e-7, 4) AS z FROM px_zf"))
 def d7(spark: SparkSession, d: str) -> DataFrame:
-    obs = daily(spark, d)
+    obs = stored_days(spark, d, "temp_mean")
     return clim.zscore(obs, clim.loyo_normals(obs)).select("city_id", "obs_date", "slot", "n", r("mu"), r("sigma"), r("z"))
 
 
@@ -191,7 +196,7 @@ SELECT a.city_id, a.obs_date, count(*) AS n, round(avg(b.temp_mean) + 1e-7, 4) A
 FROM g a JOIN px_obs b ON b.city_id = a.city_id AND b.obs_date = a.other_date GROUP BY 1, 2"""),
 )
 def d7g(spark: SparkSession, d: str) -> DataFrame:
-    return clim.guarded_zscore(daily(spark, d)).filter("n > 0").select("city_id", "obs_date", "n", r("mu"), r("z"))
+    return clim.guarded_zscore(stored_days(spark, d, "temp_mean")).filter("n > 0").select("city_id", "obs_date", "n", r("mu"), r("z"))
 
 
 FLAGS = "CASE WHEN is_anomaly THEN CASE WHEN z > 0 THEN 'warm' ELSE 'cold' END END"
@@ -246,7 +251,7 @@ SELECT count(*) AS rows_before, count(*) FILTER (feb29) AS feb29_before, (SELECT
   coalesce(string_agg(DISTINCT CASE WHEN mar1 THEN CAST(slot AS VARCHAR) END, ','), '') AS mar1_slots, true AS ok FROM f"""),
 )
 def d11(spark: SparkSession, d: str) -> DataFrame:
-    obs = daily(spark, d)
+    obs = stored_days(spark, d, "temp_mean")
     return clim.leap_audit(obs, clim.zscore(obs, clim.loyo_normals(obs)))
 
 
@@ -258,7 +263,7 @@ SELECT city_id, count(*) AS "rows", max(abs(n - n2)) AS max_n_diff, round(max(ab
 FROM px_z JOIN direct USING (city_id, obs_date) GROUP BY 1"""),
 )
 def d12(spark: SparkSession, d: str) -> DataFrame:
-    obs = daily(spark, d)
+    obs = stored_days(spark, d, "temp_mean")
     z = clim.zscore(obs, clim.loyo_normals(obs)).filter("n IS NOT NULL")
     return clim.leakage_audit(obs, z)
 
@@ -608,11 +613,12 @@ def f10_beats(spark: SparkSession, d: str) -> DataFrame:
 
 def saved_features(spark: SparkSession, d: str) -> DataFrame:
     """The feature table with strict flags, split, written and read back: models pass over it many times."""
-    return saved(split_features(spark, d, saved(strict(daily(spark, d)), "strict_flags")), "features")
+    days = stored_days(spark, d, "temp_mean", "surface_pressure")
+    return saved(split_features(spark, d, days, saved(strict(days), "strict_flags")), "features")
 
 
-def split_features(spark: SparkSession, d: str, flags: DataFrame) -> DataFrame:
-    rows = ft.feature_table(daily(spark, d), flags, dim_cities(proxies.cities(spark, d)))
+def split_features(spark: SparkSession, d: str, days: DataFrame, flags: DataFrame) -> DataFrame:
+    rows = ft.feature_table(days, flags, dim_cities(proxies.cities(spark, d)))
     return ft.chronological_split(rows, TRAIN_END, VAL_END)
 
 
@@ -623,8 +629,9 @@ def small_model(rows: DataFrame):
 @query("f10_model_verdict")
 def f10_model(spark: SparkSession, d: str) -> DataFrame:
     """The trained model against both baselines, all on strict flags; ``beats`` is the verdict on the test split."""
-    flags = saved(strict(daily(spark, d)), "strict_flags")
-    rows = saved(split_features(spark, d, flags), "features")
+    days = stored_days(spark, d, "temp_mean", "surface_pressure")
+    flags = saved(strict(days), "strict_flags")
+    rows = saved(split_features(spark, d, days, flags), "features")
     trees = ml.scored(small_model(rows), rows).select("split", "score", "label")
     metrics = ev.compare_models({"trees": saved(trees, "trees"), "climatology": saved(climate(flags), "scores"), "persistence": persistence(flags)})
     metrics = saved(metrics, "metrics")
@@ -709,7 +716,7 @@ EDGES = {"temp_mean": [20000.0, 60000.0, 120000.0], "humidity": [20.0, 40.0, 60.
 SELECT feature, round(sum((q - p) * ln(q / p)) + 1e-7, 4) AS psi FROM q GROUP BY 1"""),
 )
 def f15(spark: SparkSession, d: str) -> DataFrame:
-    rows = daily(spark, d)
+    rows = stored_days(spark, d, *EDGES)
     return ev.drift(rows.filter("year(obs_date) <= 1998"), rows.filter("year(obs_date) >= 2000"), EDGES).select("feature", r("psi"))
 
 
